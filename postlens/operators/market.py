@@ -34,3 +34,209 @@ def demand_share(terms: DataFrame, postings: DataFrame, key: str = "job_id", ter
     if k is not None:
         out = topk(out, [F.col("n").desc(), F.col(term)], k)
     return out
+
+
+def totals(df: DataFrame) -> DataFrame:
+    """G1: row count."""
+    return df.agg(F.count(F.lit(1)).alias("n"))
+
+
+def group_counts(df: DataFrame, col: str, null_as: str = "unknown", name: str = "n") -> DataFrame:
+    """SQL group count that keeps the NULL group under a label."""
+    return df.groupBy(F.coalesce(F.col(col), F.lit(null_as)).alias(col)).agg(F.count(F.lit(1)).alias(name))
+
+
+def distinct_count(df: DataFrame, col: str, approx: bool = False, rsd: float = 0.01, name: str = "n") -> DataFrame:
+    """Exact distinct count (two-level aggregation) or HyperLogLog++ at a bounded error."""
+    agg = F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)
+    return df.agg(agg.alias(name))
+
+
+def median_of(c: str | Column, approx: bool = False, accuracy: int = 100000) -> Column:
+    """Exact interpolated median (buffer = distinct values of the group, merged map-side), or a mergeable
+    fixed-size quantile sketch when groups are huge."""
+    return F.percentile_approx(col_of(c), 0.5, accuracy) if approx else F.median(col_of(c))
+
+
+def median_mid(df: DataFrame, by: Sequence[str] = (), approx: bool = False, decimals: int = 2,
+               lo: str = "salary_min", hi: str = "salary_max") -> DataFrame:
+    """Median salary midpoint over rows with both bounds (per group when ``by`` is given)."""
+    m = round_even(median_of(midpoint(lo, hi), approx), decimals).alias("median_mid")
+    src = df.where(F.col(lo).isNotNull() & F.col(hi).isNotNull())
+    return src.groupBy(*by).agg(m) if by else src.agg(m)
+
+
+def with_terms(postings: DataFrame, terms: DataFrame, on: str = "job_id") -> DataFrame:
+    """Bridge rows joined to their postings (sort-merge on the key; AQE splits skewed partitions)."""
+    return terms.join(postings, on)
+
+
+def term_salary(terms: DataFrame, postings: DataFrame, key: str = "job_id", term: str = "skill", min_n: int = 15,
+                k: int | None = 15, approx: bool = False) -> DataFrame:
+    """G6 (+P9, T1): median midpoint and count per term over postings with a salary; terms with >= min_n rows."""
+    sal = postings.where(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull())
+    sal = sal.select(key, midpoint().alias("mid"))
+    g = (with_terms(sal, terms.select(key, term), key).groupBy(term)
+         .agg(round_even(median_of("mid", approx), 2).alias("median_mid"), F.count(F.lit(1)).alias("n")))
+    g = g.where(F.col("n") >= min_n)
+    return topk(g, [F.col("median_mid").desc(), F.col(term)], k) if k else g
+
+
+def set_share(terms: DataFrame, postings: DataFrame, members: Sequence[str], key: str = "job_id",
+              term: str = "skill", decimals: int = 1) -> DataFrame:
+    """Distinct postings having any member term / all postings x 100 (NULL when there are no postings)."""
+    total = postings.select(F.count(F.lit(1))).scalar()
+    hit = terms.where(F.col(term).isin(list(members))).join(postings.select(key), key, "left_semi")
+    return hit.agg(F.count_distinct(key).alias("n")).select(
+        "n", round_even(F.try_divide(F.col("n") * 100.0, total), decimals).alias("share"))
+
+
+def _needle_match(loc: Column, needles: Sequence[str]) -> Column:
+    alt = "|".join(regex_quote(x) for x in needles)
+    return F.coalesce(loc.rlike(f"(?iu)(?:{alt})"), F.lit(False))
+
+
+def region_multi(df: DataFrame, loc: str, regions: Sequence[tuple[str, Sequence[str]]], out: str = "region") -> DataFrame:
+    """A row falls into every region whose needles it contains (case-insensitive).
+
+    Expressed as a generator over a literal array instead of a nested-loop join: no exchange, no broadcast, and the
+    regions list is a bounded parameter."""
+    hits = F.array(*[F.when(_needle_match(F.col(loc), needles), F.lit(name)) for name, needles in regions])
+    return df.withColumn(out, F.explode_outer(F.array_compact(hits))).where(F.col(out).isNotNull())
+
+
+def region_last(loc: str | Column, regions: Sequence[tuple[str, Sequence[str]]], default: str = "Other") -> Column:
+    """Later regions overwrite earlier ones (reverse `when` chain), default otherwise."""
+    c = col_of(loc)
+    expr = None
+    for name, needles in reversed(list(regions)):
+        cond = _needle_match(c, needles)
+        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
+    return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
+
+
+def region_profile(postings: DataFrame, loc: str, regions: Sequence[tuple[str, Sequence[str]]],
+                   approx: bool = False) -> DataFrame:
+    """Per region n = rows with salary_min, median midpoint over rows with both; regions without a (non-zero)
+    median are dropped."""
+    r = region_multi(postings, loc, regions)
+    g = r.groupBy("region").agg(
+        F.count("salary_min").alias("n"),
+        round_even(median_of(midpoint(), approx), 2).alias("median_mid"))
+    return g.where(F.col("median_mid").isNotNull() & (F.col("median_mid") != 0))
+
+
+def crosstab(df: DataFrame, row: str, col: str, domain: Sequence[str]) -> DataFrame:
+    """Row x domain counts, zero-filled; passing the domain avoids a distinct-values job and drops values
+    outside it."""
+    src = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
+    return src.groupBy(row).pivot(col, list(domain)).agg(F.count(F.lit(1))).fillna(0, subset=list(domain))
+
+
+def crosstab_pct(df: DataFrame, row: str, col: str, domain: Sequence[str], top: int = 12,
+                 decimals: int = 1) -> DataFrame:
+    """Crosstab of the ``top`` most frequent rows, each cell as % of the row sum over domain columns."""
+    src = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
+    top_rows = topk(value_counts(src, row, "row_n"), [F.col("row_n").desc(), F.col(row)], top)
+    ct = crosstab(src.join(top_rows.select(row), row, "left_semi"), row, col, domain)
+    tot = sum((F.col(f"`{d}`") for d in domain), F.lit(0))
+    return ct.join(top_rows, row).select(
+        row, "row_n", *[round_even(F.try_divide(F.col(f"`{d}`") * 100.0, tot), decimals).alias(d) for d in domain])
+
+
+def multi_hot(terms: DataFrame, key: str, col: str, kept: Sequence[str]) -> DataFrame:
+    """Binary key x term matrix for the kept terms (clip at 1)."""
+    return (terms.where(F.col(col).isin(list(kept))).groupBy(key).pivot(col, list(kept))
+            .agg(F.max(F.lit(1))).fillna(0, subset=list(kept)))
+
+
+def term_lists(terms: DataFrame, key: str = "job_id", col: str = "skill") -> DataFrame:
+    """Sorted term list per key (bounded by the vocabulary size per key)."""
+    return terms.groupBy(key).agg(F.array_sort(F.collect_list(col)).alias("terms"))
+
+
+def word_freq(df: DataFrame, col: str, stop: Sequence[str] = (), min_len: int = 2) -> DataFrame:
+    """Frequency of lower-case [a-z]+ words, minus a stop list."""
+    w = df.select(F.explode(F.regexp_extract_all(F.lower(F.col(col)), F.lit("([a-z]+)"), 1)).alias("word"))
+    w = w.where(F.length("word") >= min_len)
+    if stop:
+        w = w.where(~F.col("word").isin(list(stop)))
+    return w.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def daily_counts(df: DataFrame, ts: str) -> DataFrame:
+    """Rows per date."""
+    return df.groupBy(F.to_date(F.col(ts)).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def daily_growth(df: DataFrame, ts: str) -> DataFrame:
+    """Running total of daily counts. The window runs over the aggregated days only (one row per day)."""
+    d = daily_counts(df, ts)
+    w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return d.select("day", "n", F.sum("n").over(w).alias("cumulative"))
+
+
+def topk_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, rank_col: str = "rk") -> DataFrame:
+    """First k rows per group (ties broken by the given order; callers add the key ascending)."""
+    w = Window.partitionBy(*by).orderBy(*order)
+    return df.withColumn(rank_col, F.row_number().over(w).cast("long")).where(F.col(rank_col) <= k)
+
+
+def latest_n(df: DataFrame, ts: str, key: str, n: int) -> DataFrame:
+    """Newest n rows (TakeOrderedAndProject)."""
+    return df.orderBy(F.col(ts).desc(), F.col(key)).limit(n)
+
+
+def head_tail(df: DataFrame, value: str, key: str, head: int = 10, tail: int = 4) -> DataFrame:
+    """Top ``head`` and bottom ``tail`` of a ranking, each row once (two bounded top-k, then union)."""
+    top = df.orderBy(F.col(value).desc(), F.col(key)).limit(head).withColumn("part", F.lit("head"))
+    bottom = df.orderBy(F.col(value).asc(), F.col(key).desc()).limit(tail).withColumn("part", F.lit("tail"))
+    both = top.unionByName(bottom)
+    return both.groupBy(*[c for c in df.columns]).agg(F.min("part").alias("part"))
+
+
+def densify(counts: DataFrame, col: str, domain: Sequence[str], value: str = "n") -> DataFrame:
+    """J8 + T5: counts re-indexed to an ordinal domain (missing -> 0, values outside vanish) with its order."""
+    spark = counts.sparkSession
+    dom = spark.createDataFrame([(v, i) for i, v in enumerate(domain)], f"{col} string, ord int")
+    return (F.broadcast(dom).join(counts, col, "left")
+            .select(col, "ord", F.coalesce(F.col(value), F.lit(0)).cast("long").alias(value)))
+
+
+def left_zero(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
+    """Left join, missing values -> 0."""
+    cols = [c for c in other.columns if c != on]
+    return df.join(other, on, "left").fillna(0, subset=cols)
+
+
+def segments(postings: DataFrame, regions: Sequence[tuple[str, Sequence[str]]], levels: Sequence[str],
+             key: str = "job_id") -> DataFrame:
+    """Long (key, dim, segment) frame for the four segment dimensions (seniority, region, source, remote)."""
+    sen = postings.where(F.col("seniority").isin(list(levels))).select(
+        key, F.lit("Seniority").alias("dim"), F.initcap("seniority").alias("segment"))
+    reg = region_multi(postings.select(key, "location"), "location", regions).select(
+        key, F.lit("Metro area").alias("dim"), F.col("region").alias("segment"))
+    src = postings.select(key, F.lit("Source").alias("dim"), F.initcap("source").alias("segment"))
+    rem = postings.select(key, F.lit("Remote vs onsite").alias("dim"),
+                          F.when(F.col("remote").eqNullSafe(True), F.lit("Remote"))
+                          .otherwise(F.lit("Onsite / unspecified")).alias("segment"))
+    return sen.unionByName(reg).unionByName(src).unionByName(rem)
+
+
+def segment_profile(postings: DataFrame, terms: DataFrame, regions: Sequence[tuple[str, Sequence[str]]],
+                    levels: Sequence[str], min_n: int = 5, k: int = 6, key: str = "job_id", term: str = "skill",
+                    approx: bool = False) -> DataFrame:
+    """Per segment of every dimension: size, median midpoint, top-k terms with % of the segment's postings
+    that have at least one term. One grouped pass per statistic instead of a loop over segments."""
+    seg = segments(postings, regions, levels, key)
+    mids = postings.select(key, midpoint().alias("mid"))
+    stats = (seg.join(mids, key).groupBy("dim", "segment")
+             .agg(F.count(F.lit(1)).alias("n"), round_even(median_of("mid", approx), 2).alias("median_mid"))
+             .where(F.col("n") >= min_n))
+    st = seg.join(terms.select(key, term), key)
+    per_term = st.groupBy("dim", "segment", term).agg(F.count(F.lit(1)).alias("cnt"))
+    with_any = st.groupBy("dim", "segment").agg(F.count_distinct(key).alias("n_with"))
+    top = topk_per_group(per_term, ["dim", "segment"], [F.col("cnt").desc(), F.col(term)], k)
+    top = top.join(with_any, ["dim", "segment"]).select(
+        "dim", "segment", "rk", term, round_even(F.col("cnt") * 100.0 / F.col("n_with"), 1).alias("pct"))
+    return stats.join(top, ["dim", "segment"], "left")
