@@ -64,10 +64,10 @@ def q_skill_salary(spark, sf):
 
 
 @query("skill_salary_join", JK_SQL + f"""
-SELECT job_id, skill, round_even({MID}, 2) AS mid FROM skills_fx JOIN jobs_fx USING (job_id) WHERE {BOTH}""")
+SELECT job_id, skill, {MID} AS mid FROM skills_fx JOIN jobs_fx USING (job_id) WHERE {BOTH}""")
 def q_skill_salary_join(spark, sf):
     j = with_salary(jobs_fx(spark, sf))
-    return M.with_terms(j, skills_fx(spark, sf)).select("job_id", "skill", S.round_even(S.midpoint(), 2).alias("mid"))
+    return M.with_terms(j, skills_fx(spark, sf)).select("job_id", "skill", S.midpoint().alias("mid"))
 
 
 @query("demand_share", JK_SQL + f"""

@@ -90,9 +90,9 @@ def q_tri_state(spark, sf):
 
 
 @query("midpoint", JK_SQL + """
-SELECT job_id, round_even((salary_min + salary_max) / 2, 2) AS mid FROM jobs_fx""")
+SELECT job_id, (salary_min + salary_max) / 2 AS mid FROM jobs_fx""")
 def q_midpoint(spark, sf):
-    return jobs_fx(spark, sf).select("job_id", S.round_even(S.midpoint(), 2).alias("mid"))
+    return jobs_fx(spark, sf).select("job_id", S.midpoint().alias("mid"))
 
 
 @query("salary_band", JK_SQL + """
@@ -211,11 +211,11 @@ def q_drop_null(spark, sf):
 
 
 @query("salary_range", JK_SQL + """
-SELECT job_id, round_even((salary_min + salary_max) / 2, 2) AS mid FROM jobs_fx
+SELECT job_id, (salary_min + salary_max) / 2 AS mid FROM jobs_fx
 WHERE (salary_min + salary_max) / 2 BETWEEN 100000 AND 300000""")
 def q_salary_range(spark, sf):
     j = jobs_fx(spark, sf)
-    return j.where(P.between(S.midpoint(), 100000, 300000)).select("job_id", S.round_even(S.midpoint(), 2).alias("mid"))
+    return j.where(P.between(S.midpoint(), 100000, 300000)).select("job_id", S.midpoint().alias("mid"))
 
 
 @query("full_text_only", JK_SQL + "SELECT job_id FROM jobs_fx WHERE source <> 'src0'")
