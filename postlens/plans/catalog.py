@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postlens.operators.market import demand_share
 from postlens.operators.tagging import explode_terms, tag_terms
-from postlens.plans import q_ingest, q_market, q_scalars  # noqa: F401
+from postlens.plans import q_ingest, q_market, q_scalars, q_text  # noqa: F401
 from postlens.plans.fixtures import DOC_VOCAB
 from postlens.plans.registry import ORACLES, QUERIES, query
 from postlens.sources.tables import table
@@ -21,21 +21,8 @@ def flagship(spark: SparkSession, sf: str, k: int | None = 10) -> DataFrame:
     return demand_share(bridge, docs, key="doc_id", term="term", k=k)
 
 
-_TAG_SQL = r"""
-WITH hits AS (
-  SELECT doc_id, [
-    CASE WHEN regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])en([^\p{L}\p{N}_]|$)') THEN 'en' END,
-    CASE WHEN regexp_matches(text, 'Copyright|License') THEN 'license' END,
-    CASE WHEN regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])ouble([^\p{L}\p{N}_]|$)') THEN 'ouble' END,
-    CASE WHEN regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])the([^\p{L}\p{N}_]|$)') THEN 'the' END,
-    CASE WHEN regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])the($|[^\p{L}\p{N}_ ]| $| [^o]| o$| o[^f])') THEN 'the_not_of' END,
-    CASE WHEN regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])tion([^\p{L}\p{N}_]|$)') THEN 'tion' END,
-    CASE WHEN regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])was([^\p{L}\p{N}_]|$)') THEN 'was' END,
-    CASE WHEN regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])worthless([^\p{L}\p{N}_]|$)') THEN 'worthless' END
-  ] AS arr FROM documents),
-tags AS (SELECT doc_id, list_filter(arr, lambda x: x IS NOT NULL) AS terms FROM hits)
-"""
-TAG_SQL = _TAG_SQL
+from postlens.plans.catalog_sql import TAG_SQL  # noqa: E402
+
 
 query("flagship_demand_share", TAG_SQL + """
 , bridge AS (SELECT doc_id, unnest(terms) AS term FROM tags)
