@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postlens.operators.market import demand_share
 from postlens.operators.tagging import explode_terms, tag_terms
-from postlens.plans import q_ingest, q_market, q_ml, q_scalars, q_text  # noqa: F401
+from postlens.plans import q_ingest, q_market, q_ml, q_scalars, q_stream, q_text  # noqa: F401
 from postlens.plans.fixtures import DOC_VOCAB
 from postlens.plans.registry import ORACLES, QUERIES, query
 from postlens.sources.tables import table

@@ -13,8 +13,9 @@ from postlens.operators.tagging import Term
 from postlens.sources.tables import table
 
 
-def jobs_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+def jobs_fx(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """J; ``orders`` may be a stream (stream-static joins with the dimension tables)."""
+    o = orders if orders is not None else table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
