@@ -210,8 +210,8 @@ def cluster_profile(members: DataFrame, terms: DataFrame, k_top: int = 6, key: s
     w = Window.orderBy(cluster).rowsBetween(Window.unboundedPreceding, -1)
     lab = lab.withColumn("_prev", F.collect_list("base").over(w))
     clash = F.exists("_prev", lambda p: p.startswith(F.col("base")))
-    extra = F.coalesce(F.element_at(F.filter(F.coalesce("tops", F.array().cast("array<string>")),
-                                             lambda s: ~F.lower(F.col("base")).contains(F.lower(s))), 1), F.lit("misc"))
+    extra = F.coalesce(F.try_element_at(F.filter(F.coalesce("tops", F.array().cast("array<string>")),
+                                             lambda s: ~F.lower(F.col("base")).contains(F.lower(s))), F.lit(1)), F.lit("misc"))
     lab = lab.select(cluster, F.when(clash, F.concat("base", F.lit(" · "), extra)).otherwise(F.col("base")).alias("label"))
     prof = size.join(lab, cluster).join(top, cluster, "left")
     return prof.select(cluster, "label", "size", "median_salary", "rk", term,
