@@ -25,11 +25,17 @@ def topk(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 
 
 def demand_share(terms: DataFrame, postings: DataFrame, key: str = "job_id", term: str = "skill",
-                 k: int | None = None, decimals: int = 1) -> DataFrame:
-    """G7 (+T1): distinct postings per term / all postings x 100. Terms are restricted to the given postings."""
+                 k: int | None = None, decimals: int = 1, restrict: bool = True, distinct: bool = True) -> DataFrame:
+    """G7 (+T1): distinct postings per term / all postings x 100.
+
+    ``restrict``: keep only bridge rows of the given postings (semi-join); pass False when the bridge was derived
+    from exactly these postings. ``distinct``: count distinct postings (a bridge may hold one row per method); pass
+    False when (posting, term) pairs are unique by construction, which saves the shuffle of the whole bridge that a
+    distinct count needs."""
     total = postings.select(F.count(F.lit(1))).scalar()
-    scoped = terms.join(postings.select(key), key, "left_semi")
-    counts = scoped.groupBy(term).agg(F.count_distinct(key).alias("n"))
+    scoped = terms.join(postings.select(key), key, "left_semi") if restrict else terms
+    n = F.count_distinct(key) if distinct else F.count(F.lit(1))
+    counts = scoped.groupBy(term).agg(n.alias("n"))
     out = counts.select(term, "n", round_even(F.try_divide(F.col("n") * 100.0, total), decimals).alias("share"))
     if k is not None:
         out = topk(out, [F.col("n").desc(), F.col(term)], k)

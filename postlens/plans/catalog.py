@@ -18,7 +18,8 @@ __all__ = ["QUERIES", "ORACLES", "flagship"]
 def flagship(spark: SparkSession, sf: str, k: int | None = 10) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     bridge = explode_terms(tag_terms(docs, ["text"], DOC_VOCAB), "doc_id", term_col="term")
-    return demand_share(bridge, docs, key="doc_id", term="term", k=k)
+    # the bridge comes from these documents and holds each (doc, term) once: no semi-join, no distinct count
+    return demand_share(bridge, docs, key="doc_id", term="term", k=k, restrict=False, distinct=False)
 
 
 from postlens.plans.catalog_sql import TAG_SQL  # noqa: E402
