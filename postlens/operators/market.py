@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.scalars import col_of, midpoint, regex_quote, round_even
+from postlens.operators.median import exact_median
 
 
 def value_counts(df: DataFrame, col: str, name: str = "n") -> DataFrame:
@@ -59,17 +60,34 @@ def distinct_count(df: DataFrame, col: str, approx: bool = False, rsd: float = 0
 
 
 def median_of(c: str | Column, approx: bool = False, accuracy: int = 100000) -> Column:
-    """Exact interpolated median (buffer = distinct values of the group, merged map-side), or a mergeable
-    fixed-size quantile sketch when groups are huge."""
+    """Median as an aggregate expression (value->count buffer per group, or the fixed-size sketch when ``approx``).
+    Operators over data-sized groups use ``grouped_median`` instead, which never holds a whole group in a task."""
     return F.percentile_approx(col_of(c), 0.5, accuracy) if approx else F.median(col_of(c))
 
 
+def grouped_median(df: DataFrame, by: Sequence[str], value: str | Column, out: str = "median",
+                   approx: bool = False, accuracy: int = 100000) -> DataFrame:
+    """G5 per group: exact (``exact_median``, skew-safe) or the mergeable quantile sketch."""
+    if approx:
+        v = col_of(value)
+        return df.where(v.isNotNull()).groupBy(*by).agg(F.percentile_approx(v, 0.5, accuracy).alias(out))
+    return exact_median(df, by, value, out)
+
+
+def scalar_median(df: DataFrame, value: str | Column, approx: bool = False) -> Column:
+    """The median of a whole frame as a scalar-subquery column (NULL when there is no value)."""
+    return grouped_median(df, [], value, "_m", approx).select("_m").scalar()
+
+
 def median_mid(df: DataFrame, by: Sequence[str] = (), approx: bool = False, decimals: int = 2,
                lo: str = "salary_min", hi: str = "salary_max") -> DataFrame:
     """Median salary midpoint over rows with both bounds (per group when ``by`` is given)."""
-    m = round_even(median_of(midpoint(lo, hi), approx), decimals).alias("median_mid")
-    src = df.where(F.col(lo).isNotNull() & F.col(hi).isNotNull())
-    return src.groupBy(*by).agg(m) if by else src.agg(m)
+    src = df.where(F.col(lo).isNotNull() & F.col(hi).isNotNull()).withColumn("_mid", midpoint(lo, hi))
+    if by:
+        med = grouped_median(src, by, "_mid", "median_mid", approx)
+        return med.select(*by, round_even("median_mid", decimals).alias("median_mid"))
+    return src.agg(F.count(F.lit(1)).alias("_n")).select(
+        round_even(scalar_median(src, "_mid", approx), decimals).alias("median_mid"))
 
 
 def with_terms(postings: DataFrame, terms: DataFrame, on: str = "job_id") -> DataFrame:
@@ -82,9 +100,12 @@ def term_salary(terms: DataFrame, postings: DataFrame, key: str = "job_id", term
     """G6 (+P9, T1): median midpoint and count per term over postings with a salary; terms with >= min_n rows."""
     sal = postings.where(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull())
     sal = sal.select(key, midpoint().alias("mid"))
-    g = (with_terms(sal, terms.select(key, term), key).groupBy(term)
-         .agg(round_even(median_of("mid", approx), 2).alias("median_mid"), F.count(F.lit(1)).alias("n")))
-    g = g.where(F.col("n") >= min_n)
+    j = with_terms(sal, terms.select(key, term), key)
+    if approx:
+        g = j.groupBy(term).agg(F.count(F.lit(1)).alias("n"), median_of("mid", True).alias("median_mid"))
+    else:  # mid is never NULL here, so the median's value count is the row count
+        g = exact_median(j, [term], "mid", "median_mid", count_col="n")
+    g = g.where(F.col("n") >= min_n).select(term, round_even("median_mid", 2).alias("median_mid"), "n")
     return topk(g, [F.col("median_mid").desc(), F.col(term)], k) if k else g
 
 
@@ -125,10 +146,10 @@ def region_profile(postings: DataFrame, loc: str, regions: Sequence[tuple[str, S
                    approx: bool = False) -> DataFrame:
     """Per region n = rows with salary_min, median midpoint over rows with both; regions without a (non-zero)
     median are dropped."""
-    r = region_multi(postings, loc, regions)
-    g = r.groupBy("region").agg(
-        F.count("salary_min").alias("n"),
-        round_even(median_of(midpoint(), approx), 2).alias("median_mid"))
+    r = region_multi(postings, loc, regions).withColumn("_mid", midpoint())
+    g = r.groupBy("region").agg(F.count("salary_min").alias("n"))
+    med = grouped_median(r, ["region"], "_mid", "median_mid", approx)
+    g = g.join(med, "region", "left").select("region", "n", round_even("median_mid", 2).alias("median_mid"))
     return g.where(F.col("median_mid").isNotNull() & (F.col("median_mid") != 0))
 
 
@@ -236,9 +257,11 @@ def segment_profile(postings: DataFrame, terms: DataFrame, regions: Sequence[tup
     that have at least one term. One grouped pass per statistic instead of a loop over segments."""
     seg = segments(postings, regions, levels, key)
     mids = postings.select(key, midpoint().alias("mid"))
-    stats = (seg.join(mids, key).groupBy("dim", "segment")
-             .agg(F.count(F.lit(1)).alias("n"), round_even(median_of("mid", approx), 2).alias("median_mid"))
-             .where(F.col("n") >= min_n))
+    sm = seg.join(mids, key)
+    stats = sm.groupBy("dim", "segment").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_n)
+    med = grouped_median(sm, ["dim", "segment"], "mid", "median_mid", approx)
+    stats = stats.join(med, ["dim", "segment"], "left").select(
+        "dim", "segment", "n", round_even("median_mid", 2).alias("median_mid"))
     st = seg.join(terms.select(key, term), key)
     per_term = st.groupBy("dim", "segment", term).agg(F.count(F.lit(1)).alias("cnt"))
     with_any = st.groupBy("dim", "segment").agg(F.count_distinct(key).alias("n_with"))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.scalars import LEVELS, midpoint, round_even
-from postlens.operators.market import median_of, region_last, topk_per_group
+from postlens.operators.market import grouped_median, region_last, scalar_median, topk_per_group
 from postlens.operators.tagging import tokenize
 
 # Title words ignored when labelling clusters.
@@ -109,7 +109,7 @@ def regression_metrics(df: DataFrame, y: str = "salary", p: str = "prediction")
 
 def baseline(df: DataFrame, y: str = "salary") -> DataFrame:
     """M3: median of the training labels as the prediction for every test row."""
-    med = df.where(~F.col("is_test")).select(median_of(y)).scalar()
+    med = scalar_median(df.where(~F.col("is_test")), y)
     return df.where(F.col("is_test")).withColumn("prediction", med)
 
 
@@ -190,10 +190,11 @@ def cluster_profile(members: DataFrame, terms: DataFrame, k_top: int = 6, key: s
     Labels: two most frequent title words (ties by word), title-cased; a label that is a prefix of an earlier
     cluster's label (cluster-id order) gets ' · ' + its first top term not already in the label, or 'misc'.
     The relabelling window runs over one row per cluster."""
-    size = members.groupBy(cluster).agg(
-        F.count(F.lit(1)).alias("size"),
-        round_even(median_of(F.when(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull(), midpoint())),
-                   0).cast("long").alias("median_salary"))
+    mids = members.select(cluster, F.when(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull(),
+                                          midpoint()).alias("_mid"))
+    med = grouped_median(mids, [cluster], "_mid", "_med")
+    size = members.groupBy(cluster).agg(F.count(F.lit(1)).alias("size")).join(med, cluster, "left").select(
+        cluster, "size", round_even("_med", 0).cast("long").alias("median_salary"))
     mt = terms.join(members.select(key, cluster), key)
     per = mt.groupBy(cluster, term).agg(F.count(F.lit(1)).alias("cnt"))
     top = topk_per_group(per, [cluster], [F.col("cnt").desc(), F.col(term)], k_top)

@@ -112,3 +112,16 @@ def test_hot_key_first_per_key(spark):
                                    (F.lit(20000) - F.col("id")).alias("pos"))
     r = first_per_key(df, "k", ["pos"]).where("k = 0").first()
     assert r.pos == 20000 - 19998
+
+
+def test_exact_median_hot_group_matches_builtin(spark):
+    from postlens.operators.median import exact_median
+
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 7).alias("g"),
+                                   (F.rand(3) * 1000).alias("x"))
+    df = df.unionByName(spark.range(700).select(F.lit(9).cast("long").alias("g"), F.lit(5.0).alias("x")))
+    got = {r.g: r.median for r in exact_median(df, ["g"], "x", threshold=300, quantiles=50).collect()}
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("x").alias("m")).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert exact_median(df.limit(0), [], "x").count() == 0
