@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -16,7 +16,7 @@ __all__ = [
     "compose_key", "join_names", "true_or_null", "midpoint", "salary_band", "money_k", "count_label", "pct_label",
     "signed_k", "day_label", "collapse_ws", "text_window", "truncate", "falsy", "haystack", "lookup_or_self",
     "parse_reply", "reply_ok", "clean_terms", "in_domain", "title_label", "prefixed", "strip_prefix", "plural",
-    "ratio", "round_even", "literal_map", "regex_quote",
+    "ratio", "round_even", "literal_map", "regex_quote", "explode_present",
     "ELIGIBLE_WORDS", "STATE_CODES", "REMOTE_MARKER", "RELEVANT_WORDS", "ALIASES", "SHORT_NAMES", "LEVELS",
 ]
 
@@ -331,3 +331,14 @@ def plural(n: str | Column) -> Column:
 def ratio(a: str | Column, b: str | Column, default: float = 0.0) -> Column:
     """a / b, default when b is 0 (ANSI division by zero raises; try_divide does not)."""
     return F.coalesce(F.try_divide(col_of(a).cast("double"), col_of(b).cast("double")), F.lit(default))
+
+
+def explode_present(df: DataFrame, arr: Column, alias: str | Sequence[str], *keep: str | Column) -> DataFrame:
+    """``keep`` columns plus one row per non-NULL element (or map entry) of ``arr``.
+
+    ``explode_outer`` + NOT NULL instead of ``explode``: for ``explode`` the optimizer infers a ``size(arr) > 0``
+    filter and pushes it toward the scan (through projections and repartitions), so an expensive array expression
+    (regex extraction, tagging, JSON parsing) would be evaluated twice, the second time possibly in the scan task."""
+    names = [alias] if isinstance(alias, str) else list(alias)
+    out = df.select(*keep, F.explode_outer(arr).alias(*names))
+    return out.where(F.col(names[0]).isNotNull())

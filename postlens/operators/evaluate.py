@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.functions.scalars import ratio
+from postlens.functions.scalars import explode_present, ratio
 
 
 def read_gold(df: DataFrame, col: str, meta_prefix: str = "_", key: str = "key", terms: str = "terms") -> DataFrame:
@@ -13,7 +13,7 @@ def read_gold(df: DataFrame, col: str, meta_prefix: str = "_", key: str = "key",
 
     Two-step parse: a direct ``map<string,array<string>>`` parse turns the whole map NULL when a metadata value is a
     plain string, so values are read as raw strings first and parsed per entry."""
-    m = df.select(F.explode(F.from_json(F.col(col), "map<string,string>")).alias(key, "_v"))
+    m = explode_present(df, F.from_json(F.col(col), "map<string,string>"), (key, "_v"))
     m = m.where(~F.col(key).startswith(meta_prefix))
     return m.select(key, F.array_distinct(F.from_json("_v", "array<string>")).alias(terms))
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.functions.scalars import col_of, midpoint, regex_quote, round_even
+from postlens.functions.scalars import col_of, explode_present, midpoint, regex_quote, round_even
 from postlens.operators.median import exact_median
 
 
@@ -184,7 +184,7 @@ def term_lists(terms: DataFrame, key: str = "job_id", col: str = "skill") -> Dat
 
 def word_freq(df: DataFrame, col: str, stop: Sequence[str] = (), min_len: int = 2) -> DataFrame:
     """Frequency of lower-case [a-z]+ words, minus a stop list."""
-    w = df.select(F.explode(F.regexp_extract_all(F.lower(F.col(col)), F.lit("([a-z]+)"), 1)).alias("word"))
+    w = explode_present(df, F.regexp_extract_all(F.lower(F.col(col)), F.lit("([a-z]+)"), 1), "word")
     w = w.where(F.length("word") >= min_len)
     if stop:
         w = w.where(~F.col("word").isin(list(stop)))

@@ -21,7 +21,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.functions.scalars import LEVELS, midpoint, round_even
+from postlens.functions.scalars import LEVELS, explode_present, midpoint, round_even
 from postlens.operators.market import grouped_median, region_last, scalar_median, topk_per_group
 from postlens.operators.tagging import tokenize
 
@@ -150,8 +150,12 @@ def tfidf(df: DataFrame, key: str, tokens: str, min_df: int = 5) -> DataFrame:
 
     Scales with the data: token document frequencies are a grouped count, no vocabulary vector on the driver."""
     n = df.select(F.count(F.lit(1))).scalar()
-    tf = df.select(key, F.explode(tokens).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df)
+    # the explicit NOT NULL keeps both uses of ``tf`` one plan, so they share its exchange (ReuseExchange)
+    toks = explode_present(df.where(F.col(key).isNotNull()), F.col(tokens), "token", key)
+    tf = toks.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"))
+    # df as a sum of presence indicators reads tf, so this branch keeps tf's own aggregate: with count(*) column
+    # pruning would drop it here and the two uses of tf would no longer share the exchange above the tokenizer
+    dfreq = tf.groupBy("token").agg(F.sum(F.least("tf", F.lit(1))).alias("df")).where(F.col("df") >= min_df)
     w = tf.join(dfreq, "token").withColumn("w", F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1))
     norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") ** 2)).alias("norm"))
     return w.join(norm, key).select(key, "token", (F.col("w") / F.col("norm")).alias("weight"))
@@ -198,7 +202,7 @@ def cluster_profile(members: DataFrame, terms: DataFrame, k_top: int = 6, key: s
     mt = terms.join(members.select(key, cluster), key)
     per = mt.groupBy(cluster, term).agg(F.count(F.lit(1)).alias("cnt"))
     top = topk_per_group(per, [cluster], [F.col("cnt").desc(), F.col(term)], k_top)
-    words = (members.select(cluster, F.explode(F.regexp_extract_all(F.lower("title"), F.lit("([a-z]+)"), 1)).alias("w"))
+    words = (explode_present(members, F.regexp_extract_all(F.lower("title"), F.lit("([a-z]+)"), 1), "w", cluster)
              .where((F.length("w") > 1) & ~F.col("w").isin(list(stop))))
     wc = words.groupBy(cluster, "w").agg(F.count(F.lit(1)).alias("c"))
     top2 = topk_per_group(wc, [cluster], [F.col("c").desc(), F.col("w")], 2, "wr")

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.functions.scalars import col_of
+from postlens.functions.scalars import col_of, explode_present
 
 # Word characters for boundaries (letters, digits, underscore in any script).
 _W = r"[\p{L}\p{N}_]"
@@ -85,12 +85,9 @@ def tag_terms(df: DataFrame, cols: Sequence[str | Column], vocab: Sequence[Term]
 
 def explode_terms(df: DataFrame, key: str, terms: str = "terms", method: str = "rules",
                   term_col: str = "skill") -> DataFrame:
-    """One bridge row per (key, term) with the producing method.
-
-    ``explode_outer`` + NOT NULL instead of ``explode``: with plain explode the optimizer infers a ``size(terms) > 0``
-    filter and pushes it below the projection, which would evaluate every regex of the tagger twice."""
-    return (df.select(F.col(key), F.explode_outer(terms).alias(term_col), F.lit(method).alias("method"))
-            .where(F.col(term_col).isNotNull()))
+    """One bridge row per (key, term) with the producing method (``explode_present``: the tagger's regexes are
+    evaluated once)."""
+    return explode_present(df, F.col(terms), term_col, key).withColumn("method", F.lit(method))
 
 
 def classify_first(c: str | Column, rules: Sequence[tuple[str, str]], default: str = "mid") -> Column:

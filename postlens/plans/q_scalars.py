@@ -73,8 +73,10 @@ SELECT coalesce(CASE lower(cleaned) WHEN 'the' THEN 'The' WHEN 'en' THEN 'En' WH
 FROM c GROUP BY 1""")
 def q_normalize_terms(spark, sf):
     d = table(spark, sf, "documents")
-    toks = d.select(F.explode(F.regexp_extract_all("text", F.lit(r"(\S+)"), 1)).alias("tok"))
-    return toks.groupBy(S.normalize_term("tok", DOC_ALIASES).alias("term")).agg(F.count(F.lit(1)).alias("n"))
+    toks = S.explode_present(d, F.regexp_extract_all("text", F.lit(r"(\S+)"), 1), "tok")
+    # count raw tokens first (map-side combine), then normalise each distinct token once and re-add
+    raw = toks.groupBy("tok").agg(F.count(F.lit(1)).alias("c"))
+    return raw.groupBy(S.normalize_term("tok", DOC_ALIASES).alias("term")).agg(F.sum("c").alias("n"))
 
 
 @query("compose_key", "SELECT doc_id, concat(source, ':', CAST(doc_id AS VARCHAR)) AS key FROM documents")

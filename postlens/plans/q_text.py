@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
+from postlens.functions.scalars import explode_present
 from postlens.operators import evaluate as EV
 from postlens.operators.dedup import set_diff
 from postlens.operators.enrich import enrich
@@ -69,7 +70,7 @@ def q_classify_first(spark, sf):
 SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z][a-z+/#.-]+')) AS token
 FROM documents) GROUP BY token""")
 def q_tokenize(spark, sf):
-    toks = _docs(spark, sf).select(F.explode(tokenize("text")).alias("token"))
+    toks = explode_present(_docs(spark, sf), tokenize("text"), "token")
     return value_counts(toks, "token")
 
 

@@ -19,6 +19,7 @@ def get_spark(master: str | None = None, app: str = "postlens", shuffle_partitio
     parts = shuffle_partitions or int(os.environ.get("POSTLENS_SHUFFLE_PARTITIONS", "8"))
     b = (
         b.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -14,9 +14,36 @@ TABLES = (
 ).split()
 
 
+# Natural key of the fact tables: a fact table that scans into fewer splits than the cluster has cores is spread by it.
+TABLE_KEYS = {
+    "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id",
+    "embeddings": "vec_id", "pages": "page_id", "conversations": "conv_id",
+}
+
+
+def spread(df: DataFrame, key: str | None = None, parallelism: int | None = None) -> DataFrame:
+    """Small-input guard: a Parquet row group is never split, so a small file written as one row group scans in one
+    task and every expression above it (regex tagging, tokenising) would run on one core. When the scan has fewer
+    splits than ``parallelism`` (default: the cluster's cores) the rows are hash-partitioned by ``key`` right after the
+    scan; column pruning and pushed filters still reach the scan below the exchange. A large input already has more
+    splits than cores and is returned unchanged (no shuffle is added at scale).
+
+    The rows are placed by ``xxhash64(key)``, not by ``key`` itself, so this exchange never stands in for a later
+    key-clustered one: aggregations and joins above keep the exchanges they have at scale, and those exchanges stay
+    shareable (ReuseExchange) between branches of one plan."""
+    if df.isStreaming:
+        return df
+    n = parallelism or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:  # planning only: split computation, no job
+        return df
+    return df.repartition(n, F.xxhash64(key)) if key else df.repartition(n)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table; Catalyst prunes columns and pushes filters into the Parquet scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one driver table; Catalyst prunes columns and pushes filters into the Parquet scan. Fact tables go through
+    the small-input guard (``spread``)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, TABLE_KEYS[name]) if name in TABLE_KEYS else df
 
 
 def scan(spark: SparkSession, path: str, cols: Sequence[str] | None = None, not_null: Sequence[str] = ()) -> DataFrame:
