@@ -123,13 +123,18 @@ def _needle_match(loc: Column, needles: Sequence[str]) -> Column:
     return F.coalesce(loc.rlike(f"(?iu)(?:{alt})"), F.lit(False))
 
 
+def region_hits(loc: str | Column, regions: Sequence[tuple[str, Sequence[str]]]) -> Column:
+    """array<string> of every region whose needles the location contains, in dictionary order."""
+    c = col_of(loc)
+    return F.array_compact(F.array(*[F.when(_needle_match(c, needles), F.lit(name)) for name, needles in regions]))
+
+
 def region_multi(df: DataFrame, loc: str, regions: Sequence[tuple[str, Sequence[str]]], out: str = "region") -> DataFrame:
     """A row falls into every region whose needles it contains (case-insensitive).
 
     Expressed as a generator over a literal array instead of a nested-loop join: no exchange, no broadcast, and the
     regions list is a bounded parameter."""
-    hits = F.array(*[F.when(_needle_match(F.col(loc), needles), F.lit(name)) for name, needles in regions])
-    return df.withColumn(out, F.explode_outer(F.array_compact(hits))).where(F.col(out).isNotNull())
+    return df.withColumn(out, F.explode_outer(region_hits(loc, regions))).where(F.col(out).isNotNull())
 
 
 def region_last(loc: str | Column, regions: Sequence[tuple[str, Sequence[str]]], default: str = "Other") -> Column:
@@ -236,18 +241,26 @@ def left_zero(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
     return df.join(other, on, "left").fillna(0, subset=cols)
 
 
+_SEG = "array<struct<dim:string,segment:string>>"
+
+
+def _seg(dim: str, segment: Column) -> Column:
+    return F.struct(F.lit(dim).alias("dim"), segment.alias("segment"))
+
+
 def segments(postings: DataFrame, regions: Sequence[tuple[str, Sequence[str]]], levels: Sequence[str],
-             key: str = "job_id") -> DataFrame:
-    """Long (key, dim, segment) frame for the four segment dimensions (seniority, region, source, remote)."""
-    sen = postings.where(F.col("seniority").isin(list(levels))).select(
-        key, F.lit("Seniority").alias("dim"), F.initcap("seniority").alias("segment"))
-    reg = region_multi(postings.select(key, "location"), "location", regions).select(
-        key, F.lit("Metro area").alias("dim"), F.col("region").alias("segment"))
-    src = postings.select(key, F.lit("Source").alias("dim"), F.initcap("source").alias("segment"))
-    rem = postings.select(key, F.lit("Remote vs onsite").alias("dim"),
-                          F.when(F.col("remote").eqNullSafe(True), F.lit("Remote"))
-                          .otherwise(F.lit("Onsite / unspecified")).alias("segment"))
-    return sen.unionByName(reg).unionByName(src).unionByName(rem)
+             key: str = "job_id", carry: Sequence[str] = ()) -> DataFrame:
+    """Long (key, carry..., dim, segment) frame for the four segment dimensions (seniority, region, source, remote).
+
+    One pass over the postings: each row builds the array of its (dim, segment) pairs (a row may fall into several
+    regions) and the array is exploded, instead of a union of one scan per dimension."""
+    sen = F.when(F.col("seniority").isin(list(levels)), F.array(_seg("Seniority", F.initcap("seniority"))))
+    reg = F.transform(region_hits("location", regions), lambda r: _seg("Metro area", r))
+    src = F.array(_seg("Source", F.initcap("source")))
+    rem = F.array(_seg("Remote vs onsite", F.when(F.col("remote").eqNullSafe(True), F.lit("Remote"))
+                       .otherwise(F.lit("Onsite / unspecified"))))
+    pairs = F.concat(F.coalesce(sen, F.array().cast(_SEG)), reg, src, rem)
+    return explode_present(postings, pairs, "_s", key, *carry).select(key, *carry, "_s.dim", "_s.segment")
 
 
 def segment_profile(postings: DataFrame, terms: DataFrame, regions: Sequence[tuple[str, Sequence[str]]],
@@ -255,9 +268,8 @@ def segment_profile(postings: DataFrame, terms: DataFrame, regions: Sequence[tup
                     approx: bool = False) -> DataFrame:
     """Per segment of every dimension: size, median midpoint, top-k terms with % of the segment's postings
     that have at least one term. One grouped pass per statistic instead of a loop over segments."""
-    seg = segments(postings, regions, levels, key)
-    mids = postings.select(key, midpoint().alias("mid"))
-    sm = seg.join(mids, key)
+    sm = segments(postings.withColumn("mid", midpoint()), regions, levels, key, carry=["mid"])
+    seg = sm.select(key, "dim", "segment")
     stats = sm.groupBy("dim", "segment").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_n)
     med = grouped_median(sm, ["dim", "segment"], "mid", "median_mid", approx)
     stats = stats.join(med, ["dim", "segment"], "left").select(

@@ -11,7 +11,11 @@
    target ranks are read exactly.
 
 Every pass is a filter + partial aggregation over the data and a join with a per-group state table (one row per
-group, checkpointed each round). At small scale no narrowing round runs and the cost is two passes.
+group, checkpointed each round).
+
+Step 1 is preceded by one size pass (group sizes aggregated map-side, only the largest size reaches the driver). When
+no group exceeds ``threshold`` rows, the built-in ``median`` is exact and safe (its buffer is bounded by the group
+size), so the result is that plain lazy aggregation and no narrowing job runs.
 """
 
 from __future__ import annotations
@@ -37,15 +41,21 @@ def exact_median(df: DataFrame, by: Sequence[str], value: str | Column, out: str
     """(by..., out[, count_col]) with the interpolated median of ``value`` per group; NULL values are ignored, groups
     without a value are absent (join back with a left join to get NULL).
 
-    Runs eagerly: the two-column input projection is persisted (memory and disk) for the passes, the small result is
-    checkpointed, then the input is released."""
+    The size pass runs eagerly. Only when a group exceeds ``threshold``: the two-column input projection is persisted
+    (memory and disk) for the narrowing passes, the small result is checkpointed, then the input is released."""
     by = list(by)
     keys = by if by else [_KEY]
     v = F.col(value) if isinstance(value, str) else value
     src = df.select(*[F.col(c) for c in by], v.cast("double").alias("_v"))
     if not by:
         src = src.withColumn(_KEY, F.lit(0))
-    src = src.where(F.col("_v").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    src = src.where(F.col("_v").isNotNull())
+    largest = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if largest is None or largest <= threshold:
+        res = src.groupBy(*keys).agg(F.median("_v").alias(out), F.count(F.lit(1)).alias("n"))
+        res = res.withColumnRenamed("n", count_col) if count_col else res.drop("n")
+        return res.drop(_KEY) if not by else res
+    src = src.persist(StorageLevel.MEMORY_AND_DISK)
 
     st = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("cmin"), F.max("_v").alias("cmax"))
     st = st.select(*keys, "n", F.expr("(n - 1) div 2").alias("rlo"), F.expr("n div 2").alias("rhi"),
