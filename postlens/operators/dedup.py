@@ -32,9 +32,15 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str])
 def dedup_append(existing: DataFrame, batch: DataFrame, key: str, order: Sequence[str], text: str) -> DataFrame:
     """Rows of ``batch`` to append: non-empty ``text``, key unseen in ``existing``, first per key in feed order.
 
-    An empty first copy does not block a later full one (empties are dropped before picking the first)."""
+    An empty first copy does not block a later full one (empties are dropped before picking the first).
+
+    The stored table is only probed: its key column is semi-joined against the batch's keys (the side the planner may
+    broadcast, after its size check, when the batch is a small increment), and the batch is then anti-joined against
+    those few known keys. A plain ``batch left_anti table`` could only broadcast the table side, so every increment
+    would shuffle all stored keys."""
     candidates = batch.where(has_text(text))
-    unseen = candidates.join(existing.select(key), key, "left_anti")
+    known = existing.select(key).join(candidates.select(key), key, "left_semi")
+    unseen = candidates.join(known, key, "left_anti")
     return first_per_key(unseen, key, order)
 
 

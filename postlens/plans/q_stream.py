@@ -36,7 +36,7 @@ def q_stream_ingest(spark, sf):
     s = _stream(spark, sf, "events").select(
         F.concat(F.col("user_id").cast("string"), F.lit("-"), F.col("event_type")).alias("key"),
         F.col("event_type").alias("source"), F.col("props").alias("text"), "ts", "event_id")
-    R.stream_ingest(s, out, "key", ["ts", "event_id"], "text", ck)
+    R.stream_ingest(s, out, "key", ["ts", "event_id"], "text", ck, buckets=16)
     return spark.read.parquet(out).select("key", "source", "text")
 
 

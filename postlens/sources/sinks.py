@@ -23,15 +23,30 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> D
         return spark.createDataFrame([], schema)
 
 
+def key_bucket(key: str, buckets: int) -> Column:
+    """Stable bucket of a key (independent of partitioning and of the Spark version's hash partitioner)."""
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
 def append_new(spark: SparkSession, path: str, batch: DataFrame, key: str, order: Sequence[str], text: str,
-               partition_by: Sequence[str] = ("source",)) -> DataFrame:
+               partition_by: Sequence[str] = ("source",), buckets: int | None = None) -> DataFrame:
     """K1: append the unseen, non-empty, first-per-key rows of ``batch`` to the table at ``path``.
 
-    The new rows are materialised (reliable checkpoint in the shared checkpoint folder) before the write, so the
-    returned frame stays the appended rows even after the table has changed and survives executor loss."""
+    With ``buckets`` the table is also partitioned by ``bucket = pmod(xxhash64(key), buckets)``: an increment then
+    reads only the buckets its keys fall into (static partition pruning on at most ``buckets`` small integers),
+    instead of every stored key. The new rows are materialised (reliable checkpoint in the shared checkpoint folder)
+    before the write, so the returned frame stays the appended rows even after the table has changed and survives
+    executor loss."""
+    parts = list(partition_by)
+    if buckets:
+        batch = batch.withColumn("bucket", key_bucket(key, buckets))
+        parts.append("bucket")
     existing = read_or_empty(spark, path, batch.schema)
+    if buckets:
+        touched = [r[0] for r in batch.select("bucket").distinct().collect()]  # at most ``buckets`` integers
+        existing = existing.where(F.col("bucket").isin(touched))
     new = dedup_append(existing, batch, key, order, text).checkpoint(eager=True)
-    new.write.mode("append").partitionBy(*partition_by).parquet(path)
+    new.write.mode("append").partitionBy(*parts).parquet(path)
     return new
 
 
@@ -53,7 +68,7 @@ def replace_by_key_table(spark: SparkSession, path: str, new: DataFrame, key: st
                          buckets: int = 64, method_col: str = "method") -> None:
     """K2 on a stored table bucketed by ``pmod(xxhash64(key), buckets)``: only buckets touched by ``new`` are
     rewritten (dynamic partition overwrite); the rewrite is checkpointed first because it reads those buckets."""
-    new_b = new.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    new_b = new.withColumn("bucket", key_bucket(key, buckets))
     target = read_or_empty(spark, path, new_b.schema)
     touched = new_b.select("bucket").distinct()
     affected = target.join(touched, "bucket", "left_semi")

@@ -36,13 +36,13 @@ def _run(writer, checkpoint: str) -> None:
 
 
 def stream_ingest(stream: DataFrame, target: str, key: str, order: Sequence[str], text: str, checkpoint: str,
-                  partition_by: Sequence[str] = ("source",)) -> None:
+                  partition_by: Sequence[str] = ("source",), buckets: int | None = None) -> None:
     """Every micro-batch goes through D1 + K1 against the stored table: a key is appended once, whichever batch
-    (or retried batch) brings it."""
+    (or retried batch) brings it. With ``buckets`` a micro-batch reads only the key buckets it touches."""
     spark = stream.sparkSession
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        append_new(spark, target, batch, key, order, text, partition_by)
+        append_new(spark, target, batch, key, order, text, partition_by, buckets)
 
     _run(stream.writeStream.foreachBatch(per_batch), checkpoint)
 

@@ -154,3 +154,33 @@ def test_search_blank_and_literal(spark):
 def test_topk_ties_key_ascending(spark):
     df = spark.createDataFrame([("b", 2), ("a", 2), ("c", 1)], "skill string, n long")
     assert [r.skill for r in M.topk(df, [F.col("n").desc(), F.col("skill")], 2).collect()] == ["a", "b"]
+
+
+def test_explode_present_keeps_no_empty_rows_and_no_inferred_filter(spark):
+    from postlens.functions.scalars import explode_present
+
+    df = spark.createDataFrame([(1, "a b"), (2, ""), (3, None)], "id int, t string")
+    arr = F.regexp_extract_all(F.coalesce("t", F.lit("")), F.lit(r"(\w+)"), 1)
+    out = explode_present(df, arr, "w", "id")
+    assert sorted((r.id, r.w) for r in out.collect()) == [(1, "a"), (1, "b")]
+    # the regex runs once: no size(...) > 0 filter below the generator
+    assert "size(" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_spread_only_below_parallelism(spark, sf):
+    from postlens.sources.tables import spread, table
+
+    docs = table(spark, sf, "documents")
+    assert docs.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, numPartitions=64)
+    assert spread(wide, "id") is wide
+
+
+def test_exact_median_fast_path_equals_builtin(spark):
+    from postlens.operators.median import exact_median
+
+    df = spark.range(5000).select((F.col("id") % 4).alias("g"), (F.rand(7) * 100).alias("x"))
+    got = {r.g: (r.median, r.n) for r in exact_median(df, ["g"], "x", count_col="n").collect()}
+    want = {r.g: (r.m, r.n) for r in df.groupBy("g").agg(F.median("x").alias("m"), F.count("x").alias("n")).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k][0] - want[k][0]) < 1e-9 and got[k][1] == want[k][1] for k in want)

@@ -125,3 +125,30 @@ def test_exact_median_hot_group_matches_builtin(spark):
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
     assert exact_median(df.limit(0), [], "x").count() == 0
+
+
+def test_append_new_bucketed_reads_touched_buckets_only(spark):
+    rows = [(f"k{i}", "s", i, f"t{i}") for i in range(40)]
+    first = spark.createDataFrame(rows[:30], "key string, source string, pos int, text string")
+    path = scratch_path(spark, f"t-append-b-{uuid.uuid4().hex}")
+    K.append_new(spark, path, first, "key", ["pos"], "text", buckets=8)
+    # the second batch repeats 10 stored keys and brings 10 new ones; running it twice appends them once
+    second = spark.createDataFrame(rows[20:], "key string, source string, pos int, text string")
+    new = K.append_new(spark, path, second, "key", ["pos"], "text", buckets=8)
+    assert sorted(r.key for r in new.collect()) == sorted(f"k{i}" for i in range(30, 40))
+    K.append_new(spark, path, second, "key", ["pos"], "text", buckets=8)
+    t = spark.read.parquet(path)
+    assert t.count() == 40 and t.select("key").distinct().count() == 40
+    want = {r.key: r.b for r in t.select("key", K.key_bucket("key", 8).alias("b")).collect()}
+    assert all(want[r.key] == r.bucket for r in t.collect())
+
+
+def test_dedup_append_probes_the_table_without_shuffling_it(spark):
+    from postlens.operators.dedup import dedup_append
+
+    existing = spark.range(100000).select(F.col("id").cast("string").alias("key"))
+    batch = spark.createDataFrame([("5", 0, "x"), ("new", 0, "y")], "key string, pos int, text string")
+    out = dedup_append(existing, batch, "key", ["pos"], "text")
+    assert [r.key for r in out.collect()] == ["new"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
