@@ -39,11 +39,20 @@ def spread(df: DataFrame, key: str | None = None, parallelism: int | None = None
     return df.repartition(n, F.xxhash64(key)) if key else df.repartition(n)
 
 
+# Read-only driver tables: the DataFrame definition (file listing, footer schema, guard decision) is built once per
+# session and path, as a catalog table's metadata would be; the data itself is read by every query.
+_DEFINITIONS: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table; Catalyst prunes columns and pushes filters into the Parquet scan. Fact tables go through
     the small-input guard (``spread``)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, TABLE_KEYS[name]) if name in TABLE_KEYS else df
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    k = (spark.sparkContext.applicationId, path)
+    if k not in _DEFINITIONS:
+        df = spark.read.parquet(path)
+        _DEFINITIONS[k] = spread(df, TABLE_KEYS[name]) if name in TABLE_KEYS else df
+    return _DEFINITIONS[k]
 
 
 def scan(spark: SparkSession, path: str, cols: Sequence[str] | None = None, not_null: Sequence[str] = ()) -> DataFrame:
