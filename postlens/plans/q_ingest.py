@@ -253,8 +253,7 @@ UNION ALL SELECT 'ALL', CAST(sum(new_rows) AS BIGINT), CAST(sum(skipped) AS BIGI
 def q_ingest_report(spark, sf):
     existing, batch = _existing(spark, sf), _batch(spark, sf)
     new = D.dedup_append(existing, batch, "key", ORDER, "text")
-    total = existing.select(F.count(F.lit(1))).scalar() + new.select(F.count(F.lit(1))).scalar()
-    return K.ingest_report(batch, new, "source", total)
+    return K.ingest_report(batch, new, "source", existing.select(F.count(F.lit(1))).scalar())
 
 
 _K2_SQL = JK_SQL + """

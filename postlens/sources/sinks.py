@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -104,8 +104,13 @@ def read_artifact(spark: SparkSession, path: str, schema: StructType | str) -> D
         return spark.createDataFrame([], schema)
 
 
-def ingest_report(batch: DataFrame, new: DataFrame, source: str = "source", table_total: Column | None = None) -> DataFrame:
-    """K6: per source new and skipped (duplicate or empty) rows, plus an 'ALL' total row and the table size."""
+def ingest_report(batch: DataFrame, new: DataFrame, source: str = "source",
+                  stored: Column | None = None) -> DataFrame:
+    """K6: per source new and skipped (duplicate or empty) rows, plus an 'ALL' total row; with ``stored`` (the row
+    count of the table before the append, a scalar column) also the table size after it.
+
+    The size after the append is taken from the per-source rows (a sum over one row per source), so the new rows are
+    derived once: a separate count of ``new`` would be a second, differently pruned pass over the batch."""
     b = batch.groupBy(source).agg(F.count(F.lit(1)).alias("rows"))
     n = new.groupBy(source).agg(F.count(F.lit(1)).alias("new_rows"))
     per = b.join(n, source, "left").select(
@@ -113,8 +118,10 @@ def ingest_report(batch: DataFrame, new: DataFrame, source: str = "source", tabl
         (F.col("rows") - F.coalesce("new_rows", F.lit(0))).alias("skipped"))
     tot = per.agg(F.lit("ALL").alias(source), F.sum("new_rows").alias("new_rows"), F.sum("skipped").alias("skipped"))
     out = per.unionByName(tot)
-    if table_total is not None:
-        out = out.withColumn("table_total", table_total)
+    if stored is not None:
+        # the window spans the report rows only (one per source plus the total)
+        added = F.max(F.when(F.col(source) == "ALL", F.col("new_rows"))).over(Window.partitionBy())
+        out = out.withColumn("table_total", stored + added)
     return out
 
 
