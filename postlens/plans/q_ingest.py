@@ -46,6 +46,24 @@ def q_feed_nested(spark, sf):
     return FD.parse_feed(p, "payload", FD.feed_a(), F.col("page")).select(*FD.POSTING_COLUMNS)
 
 
+_FEED_A_SQL = """
+SELECT 'feed_a' AS source, 'feed_a:' || CAST(event_id AS VARCHAR) AS source_id, event_type AS title,
+       'user' || CAST(user_id AS VARCHAR) AS company, 'zone-' || event_type AS location, CAST(NULL AS BOOLEAN) AS remote,
+       value AS salary_min, value * 2 AS salary_max, props AS description, 'http://e/' || CAST(event_id AS VARCHAR) AS url,
+       CAST(ts AS DATE) AS posted_at
+FROM events"""
+
+
+@query("feed_files", _FEED_A_SQL)
+def q_feed_files(spark, sf):
+    """S1 over landed files: the payloads are written as JSON-lines files to the shared folder, then read back with
+    the declared payload schema (no inference pass)."""
+    checkpoint_dir(spark)
+    landing = scratch_path(spark, f"landing-a-{uuid.uuid4().hex}")
+    _payload_a(spark, sf).select("payload").write.text(landing)
+    return FD.read_feed(spark, landing, FD.feed_a()).select(*FD.POSTING_COLUMNS)
+
+
 _B_REL = [f"{BW}(?:the|de){EW}"]
 _B_REGION = dict(words=["example.com"], codes=[], marker=None)
 

@@ -184,3 +184,46 @@ def test_exact_median_fast_path_equals_builtin(spark):
     want = {r.g: (r.m, r.n) for r in df.groupBy("g").agg(F.median("x").alias("m"), F.count("x").alias("n")).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[k][0] - want[k][0]) < 1e-9 and got[k][1] == want[k][1] for k in want)
+
+
+def test_read_feed_landed_files_all_layouts(spark, tmp_path):
+    import json
+
+    from postlens.sources import feeds as FD
+
+    pages = {
+        "a": [{"results": [
+            {"id": "1", "title": "Data Scientist", "company": {"display_name": "Acme"}, "location": None,
+             "salary_min": 100000, "salary_max": 150000, "description": "<b>raw</b>", "redirect_url": "u1",
+             "created": "2024-03-01T23:30:00-05:00"},
+            {"id": "2"}]}],
+        "b": [{"jobs": [
+            {"id": "7", "title": "Senior Data Scientist", "company_name": "B", "candidate_required_location": "USA Only",
+             "description": "<p>Hello</p> world ", "url": "u7", "publication_date": "2024-03-02T00:00:00Z"},
+            {"id": "8", "title": "Chef", "candidate_required_location": "USA"},
+            {"id": "9", "title": "ML Engineer", "candidate_required_location": "Berlin, Germany"}]}],
+        "c": [{"jobs": [
+            {"id": "3", "jobTitle": "Machine Learning Engineer", "companyName": "C", "jobGeo": "Austin, TX",
+             "annualSalaryMin": 90000, "annualSalaryMax": None, "jobDescription": "x", "pubDate": "bad"}]}],
+        "d": [{"results": [
+            {"id": 11, "name": "AI Researcher", "company": {"name": "D"},
+             "locations": [{"name": "Flexible / Remote"}, {"name": "New York, NY"}], "contents": "<i>c</i>",
+             "refs": {"landing_page": "u11"}, "publication_date": "2024-03-04"}]},
+              {"results": [{"id": 12, "name": "Data Analyst", "locations": [], "contents": None}]}],
+    }
+    specs = {"a": FD.feed_a(), "b": FD.feed_b(), "c": FD.feed_c(), "d": FD.feed_d()}
+    frames = []
+    for k, payloads in pages.items():
+        d = tmp_path / k
+        d.mkdir()
+        (d / "page-0.json").write_text("\n".join(json.dumps(p) for p in payloads))
+        frames.append(FD.read_feed(spark, str(d), specs[k]))
+    u = FD.union_feeds(frames)
+    rows = {r.source_id: r for r in u.collect()}
+    assert sorted(rows) == ["feed_a:1", "feed_a:2", "feed_b:7", "feed_c:3", "feed_d:11"]
+    a1, a2, b7, c3, d11 = (rows[k] for k in ["feed_a:1", "feed_a:2", "feed_b:7", "feed_c:3", "feed_d:11"])
+    assert (a1.company, a1.location, a1.remote, a1.description) == ("Acme", None, None, "<b>raw</b>")
+    assert a1.posted_at == dt.date(2024, 3, 1) and a2.title == "" and a2.salary_min is None
+    assert (b7.remote, b7.description, b7.salary_min, b7.feed_ord) == (True, "Hello  world", None, 1)
+    assert (c3.salary_min, c3.salary_max, c3.posted_at, c3.remote) == (90000.0, None, None, True)
+    assert (d11.location, d11.remote, d11.url, d11.description) == ("Flexible / Remote, New York, NY", True, "u11", "c")
