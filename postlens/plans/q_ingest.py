@@ -335,7 +335,8 @@ def q_artifact_json(spark, sf):
     return _artifact(spark, sf).select(F.to_json("a").alias("artifact"))
 
 
-@query("read_artifact")
+@query("read_artifact", JK_SQL + """
+SELECT 10 AS k, skill, n FROM (SELECT skill, count(*) AS n FROM skills_fx GROUP BY skill ORDER BY n DESC, skill LIMIT 10)""")
 def q_read_artifact(spark, sf):
     checkpoint_dir(spark)
     path = scratch_path(spark, f"artifact-{uuid.uuid4().hex}")
