@@ -71,8 +71,14 @@ def stream_alert(stream: DataFrame, match: Callable[[DataFrame], DataFrame], pat
 
 
 def stream_daily(stream: DataFrame, ts: str, path: str, checkpoint: str, delay: str = "1 day") -> None:
-    """Daily counts with a watermark, complete output re-written per micro-batch (state = one row per day)."""
-    s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    """Daily counts with a watermark, complete output re-written per micro-batch (state = one row per day).
+
+    A ``timestamp_ntz`` event time is windowed as it is (days of its own wall clock, whatever the session time zone);
+    the watermark needs a zoned timestamp, so it is declared on a cast copy."""
+    if dict(stream.dtypes)[ts] == "timestamp_ntz":
+        s = stream.withColumn("_event_time", F.col(ts).cast("timestamp")).withWatermark("_event_time", delay)
+    else:
+        s = stream.withWatermark(ts, delay)
     agg = s.groupBy(F.window(ts, "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n"))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:

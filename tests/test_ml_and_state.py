@@ -152,3 +152,17 @@ def test_dedup_append_probes_the_table_without_shuffling_it(spark):
     assert [r.key for r in out.collect()] == ["new"]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_stream_daily_days_do_not_depend_on_session_zone(spark, sf):
+    import __spark_entry__ as E
+
+    batch = {r.day: r.n for r in spark.read.parquet(f"{sf}/events.parquet")
+             .groupBy(F.to_date("ts").alias("day")).count().withColumnRenamed("count", "n").collect()}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = {r.day: r.n for r in E.queries()["stream_daily"](spark, sf).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == batch
