@@ -55,13 +55,17 @@ def feature_rows(postings: DataFrame, terms: DataFrame, regions: Sequence[tuple[
     sal = salary_set(postings, lo, hi, key)
     kept = frequent_terms(terms, sal, min_n, key, term).select(term)
     base = sal.select(key, "salary", "seniority", "remote", region_last("location", regions).alias("metro"))
-    sen = base.where(F.col("seniority").isin(list(levels))).select(
-        key, "salary", F.concat(F.lit("seniority: "), F.col("seniority")).alias("feature"))
-    met = base.select(key, "salary", F.concat(F.lit("metro: "), F.col("metro")).alias("feature"))
-    rem = base.where(F.col("remote").eqNullSafe(True)).select(key, "salary", F.lit("remote").alias("feature"))
+    # the posting's own features in one generator pass (seniority one-hot, metro, remote) instead of one scan each
+    none = F.array().cast("array<string>")
+    own = F.concat(
+        F.when(F.col("seniority").isin(list(levels)), F.array(F.concat(F.lit("seniority: "), F.col("seniority"))))
+        .otherwise(none),
+        F.array(F.concat(F.lit("metro: "), F.col("metro"))),
+        F.when(F.col("remote").eqNullSafe(True), F.array(F.lit("remote"))).otherwise(none))
+    posting = explode_present(base, own, "feature", key, "salary")
     sk = (terms.join(kept, term, "left_semi").join(base.select(key, "salary"), key)
           .select(key, "salary", F.concat(F.lit("skill: "), F.col(term)).alias("feature")).distinct())
-    return sen.unionByName(met).unionByName(rem).unionByName(sk).withColumn("value", F.lit(1.0))
+    return posting.unionByName(sk).withColumn("value", F.lit(1.0))
 
 
 def build_features(postings: DataFrame, terms: DataFrame, regions: Sequence[tuple[str, Sequence[str]]],
