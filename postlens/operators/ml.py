@@ -18,12 +18,14 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, Normalizer, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.scalars import LEVELS, explode_present, midpoint, round_even
 from postlens.operators.market import grouped_median, region_last, scalar_median, topk_per_group
 from postlens.operators.tagging import tokenize
+from postlens.session import checkpoint_dir
 
 # Title words ignored when labelling clusters.
 TITLE_STOPWORDS = [
@@ -137,16 +139,24 @@ def ridge_premiums(train: DataFrame, names: Sequence[str], alpha: float = 10.0,
 
 def boosted_trees(df: DataFrame, depth: int = 4, rate: float = 0.08, rounds: int = 100, seed: int = 42,
                   y: str = "salary") -> DataFrame:
-    """M5: GBT fit on the training rows, metrics on the test rows next to the median baseline."""
-    train = df.where(~F.col("is_test"))
+    """M5: GBT fit on the training rows, metrics on the test rows next to the median baseline.
+
+    The labelled frame is persisted only while the fit and the metric passes run; the one-row result is checkpointed
+    (shared checkpoint folder) before the frame is released."""
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    train = data.where(~F.col("is_test"))
     model = GBTRegressor(featuresCol="features", labelCol=y, maxDepth=depth, stepSize=rate, maxIter=rounds,
                          seed=seed).fit(train)
-    pred = model.transform(df.where(F.col("is_test")))
+    pred = model.transform(data.where(F.col("is_test")))
     m = regression_metrics(pred, y)
-    b = regression_metrics(baseline(df, y), y).select("mae").scalar()
-    return m.withColumn("baseline_mae", b).select("n_test", round_even("baseline_mae", 0).alias("baseline_mae"),
-                            round_even("mae", 0).alias("mae"), round_even("r2", 3).alias("r2"),
-                            round_even((1 - F.col("mae") / F.col("baseline_mae")) * 100, 1).alias("mae_improvement_pct"))
+    b = regression_metrics(baseline(data, y), y).select("mae").scalar()
+    out = m.withColumn("baseline_mae", b).select("n_test", round_even("baseline_mae", 0).alias("baseline_mae"),
+                           round_even("mae", 0).alias("mae"), round_even("r2", 3).alias("r2"),
+                           round_even((1 - F.col("mae") / F.col("baseline_mae")) * 100, 1).alias("mae_improvement_pct"))
+    checkpoint_dir(df.sparkSession)
+    out = out.checkpoint(eager=True)
+    data.unpersist()
+    return out
 
 
 def tfidf(df: DataFrame, key: str, tokens: str, min_df: int = 5) -> DataFrame:
@@ -187,7 +197,10 @@ def cluster_roles(docs: DataFrame, k: int = 6, seeds: Sequence[int] = tuple(rang
         m = KMeans(k=k, seed=s, featuresCol="features", predictionCol="cluster").fit(x)
         if best is None or m.summary.trainingCost < best.summary.trainingCost:
             best = m
-    out = best.transform(x).select(key, F.col("cluster").cast("long").alias("cluster"))
+    # the assignment is written to the shared checkpoint folder, so the cached vectors can be released
+    checkpoint_dir(docs.sparkSession)
+    out = best.transform(x).select(key, F.col("cluster").cast("long").alias("cluster")).checkpoint(eager=True)
+    x.unpersist()
     return docs.join(out, key)
 
 

@@ -74,7 +74,7 @@ def q_ridge_premiums(spark, sf):
 @query("gbt_metrics")
 def q_gbt_metrics(spark, sf):
     x, _ = _model_frame(spark, sf)
-    return ML.boosted_trees(x.cache())
+    return ML.boosted_trees(x)
 
 
 @query("tfidf", """
