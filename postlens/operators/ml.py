@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
@@ -182,8 +183,10 @@ def role_docs(postings: DataFrame, terms: DataFrame, key: str = "job_id", term:
 
 
 def cluster_roles(docs: DataFrame, k: int = 6, seeds: Sequence[int] = tuple(range(42, 52)), min_df: int = 5,
-                  key: str = "job_id") -> DataFrame:
-    """M6: smoothed TF-IDF (+1) with L2 norm -> KMeans(k); the restart with the lowest training cost wins."""
+                  key: str = "job_id", parallelism: int = 4) -> DataFrame:
+    """M6: smoothed TF-IDF (+1) with L2 norm -> KMeans(k); the restart with the lowest training cost wins (ties: the
+    earlier seed). Up to ``parallelism`` restarts are fitted concurrently, each a distributed fit submitted from its
+    own driver thread (as ``CrossValidator(parallelism=...)`` does)."""
     tok = docs.withColumn("tokens", tokenize("doc"))
     cv = CountVectorizer(inputCol="tokens", outputCol="tf", minDF=float(min_df))
     idf = IDF(inputCol="tf", outputCol="idf_raw")
@@ -192,11 +195,13 @@ def cluster_roles(docs: DataFrame, k: int = 6, seeds: Sequence[int] = tuple(rang
     scaled = ElementwiseProduct(scalingVec=Vectors.dense(idf_vec), inputCol="tf", outputCol="tfidf")
     norm = Normalizer(inputCol="tfidf", outputCol="features", p=2.0)
     x = norm.transform(scaled.transform(pre.stages[0].transform(tok))).select(key, "features").cache()
-    best = None
-    for s in seeds:
-        m = KMeans(k=k, seed=s, featuresCol="features", predictionCol="cluster").fit(x)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
+
+    def fit(seed: int):
+        return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(x)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(seeds)))) as pool:
+        models = list(pool.map(fit, seeds))
+    best = min(enumerate(models), key=lambda im: (im[1].summary.trainingCost, im[0]))[1]
     # the assignment is written to the shared checkpoint folder, so the cached vectors can be released
     checkpoint_dir(docs.sparkSession)
     out = best.transform(x).select(key, F.col("cluster").cast("long").alias("cluster")).checkpoint(eager=True)
