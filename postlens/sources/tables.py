@@ -24,8 +24,8 @@ TABLE_KEYS = {
 def spread(df: DataFrame, key: str | None = None, parallelism: int | None = None) -> DataFrame:
     """Small-input guard: a Parquet row group is never split, so a small file written as one row group scans in one
     task and every expression above it (regex tagging, tokenising) would run on one core. When the scan has fewer
-    splits than ``parallelism`` (default: the cluster's cores) the rows are hash-partitioned by ``key`` right after the
-    scan; column pruning and pushed filters still reach the scan below the exchange. A large input already has more
+    splits than ``parallelism`` (default: the cluster's cores) the rows are spread over that many partitions right after
+    the scan (by a hash of ``key``, see below); column pruning and pushed filters still reach the scan below the exchange. A large input already has more
     splits than cores and is returned unchanged (no shuffle is added at scale).
 
     The rows are placed by ``xxhash64(key)``, not by ``key`` itself, so this exchange never stands in for a later
