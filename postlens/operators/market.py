@@ -269,15 +269,17 @@ def segment_profile(postings: DataFrame, terms: DataFrame, regions: Sequence[tup
     """Per segment of every dimension: size, median midpoint, top-k terms with % of the segment's postings
     that have at least one term. One grouped pass per statistic instead of a loop over segments."""
     sm = segments(postings.withColumn("mid", midpoint()), regions, levels, key, carry=["mid"])
-    seg = sm.select(key, "dim", "segment")
-    stats = sm.groupBy("dim", "segment").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_n)
+    # postings with at least one term: a flag per posting (distinct keys of the bridge), counted in the same pass as
+    # the segment size, instead of a distinct count over the larger segment x term join
+    has = terms.select(key).distinct().withColumn("_has", F.lit(True))
+    counts = sm.join(has, key, "left").groupBy("dim", "segment").agg(
+        F.count(F.lit(1)).alias("n"), F.count("_has").alias("n_with"))
     med = grouped_median(sm, ["dim", "segment"], "mid", "median_mid", approx)
-    stats = stats.join(med, ["dim", "segment"], "left").select(
-        "dim", "segment", "n", round_even("median_mid", 2).alias("median_mid"))
-    st = seg.join(terms.select(key, term), key)
+    stats = counts.where(F.col("n") >= min_n).join(med, ["dim", "segment"], "left").select(
+        "dim", "segment", "n", "n_with", round_even("median_mid", 2).alias("median_mid"))
+    st = sm.select(key, "dim", "segment").join(terms.select(key, term), key)
     per_term = st.groupBy("dim", "segment", term).agg(F.count(F.lit(1)).alias("cnt"))
-    with_any = st.groupBy("dim", "segment").agg(F.count_distinct(key).alias("n_with"))
     top = topk_per_group(per_term, ["dim", "segment"], [F.col("cnt").desc(), F.col(term)], k)
-    top = top.join(with_any, ["dim", "segment"]).select(
-        "dim", "segment", "rk", term, round_even(F.col("cnt") * 100.0 / F.col("n_with"), 1).alias("pct"))
-    return stats.join(top, ["dim", "segment"], "left")
+    prof = stats.join(top, ["dim", "segment"], "left")
+    return prof.select("dim", "segment", "n", "median_mid", "rk", term,
+                       round_even(F.col("cnt") * 100.0 / F.col("n_with"), 1).alias("pct"))
