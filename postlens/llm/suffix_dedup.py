@@ -185,14 +185,11 @@ def _rerank(rows: DataFrame, level: int) -> DataFrame:
     return rows.withColumn("kind", kind).where("kind IS NOT NULL").select("kind", "d", "place", "off", "width")
 
 
-_START = F.col("place").bitwiseAND(F.lit((1 << 31) - 1))
-_TIE = F.shiftright("place", 31)
-
-
 def _by_document(rows: DataFrame) -> DataFrame:
     """The spans of each document in one array: start, offset and width in one number."""
-    span = F.shiftleft(_START, 16) + F.shiftleft(F.col("off").cast("long"), 8) + F.col("width")
-    return rows.groupBy("d", _TIE.alias("tie")).agg(F.collect_list(span).alias("spans"))
+    start = F.col("place").bitwiseAND(F.lit((1 << 31) - 1))
+    span = F.shiftleft(start, 16) + F.shiftleft(F.col("off").cast("long"), 8) + F.col("width")
+    return rows.groupBy("d", F.shiftright("place", 31).alias("tie")).agg(F.collect_list(span).alias("spans"))
 
 
 def _remove(threshold: int, columns: list[str], schema: pa.Schema):
