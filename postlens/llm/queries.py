@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from postlens.llm.minhash import minhash_groups
 from postlens.llm.suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +52,9 @@ FROM t LEFT JOIN kept k USING (doc_id)"""
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup(spark, docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@_query("op1_minhash_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash_groups(spark, docs, size=2, per_cent=80).drop("tie")
