@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from postlens.llm.bpe import bpe_decode, bpe_encode, load_vocabulary
 from postlens.llm.minhash import minhash_groups
 from postlens.llm.suffix_dedup import suffix_dedup
 
@@ -58,3 +61,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash_groups(spark, docs, size=2, per_cent=80).drop("tie")
+
+
+@_query("op2_byte_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = load_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    ids = bpe_encode(spark, docs, vocabulary).select("doc_id", "ids")
+    return bpe_decode(spark, ids, vocabulary).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
