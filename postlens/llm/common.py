@@ -19,6 +19,9 @@ _BASE_INV = pow(_BASE, -1, 1 << 64)
 #: ASCII white space separates words; A-Z become a-z; every other byte stands for itself.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Letters, digits and all bytes beyond ASCII; and with marks as words of their own.
+ALNUM = np.array([c >= 128 or chr(c).isalnum() for c in range(256)]).astype(np.uint8)
+ALNUM_MARKS = np.where(ALNUM > 0, 1, np.where(SPACE, 0, 2)).astype(np.uint8)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -88,19 +91,19 @@ def text_chunks(ids: list, texts: pa.Array, limit: int = 1 << 20) -> Iterator[tu
         yield got, np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the lower-cased words of several texts, and the words' offsets by text."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, powers: Powers, kinds: np.ndarray = (~SPACE).astype(np.uint8)
+                ) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the lower-cased words of several texts, and the words' offsets by text. ``kinds`` gives each
+    byte's kind; a word is a longest run of one kind, and kind 0 separates words."""
     n, rows = len(data), len(offsets) - 1
     if not n:
         return np.zeros(0, U64), np.zeros(rows + 1, np.int64)
-    inside = ~SPACE[data]
-    edge = np.zeros(n + 1, bool)
-    edge[offsets] = True
-    start = inside.copy()
-    start[1:] &= ~inside[:-1] | edge[1:-1]
-    end = inside.copy()
-    end[:-1] &= ~inside[1:] | edge[1:-1]
-    start, end = np.flatnonzero(start), np.flatnonzero(end) + 1
+    kind = kinds[data]
+    cut = np.ones(n + 1, bool)  # before each byte, and after the last
+    cut[1:-1] = kind[1:] != kind[:-1]
+    cut[offsets] = True
+    start = np.flatnonzero(cut[:-1] & (kind > 0))
+    end = np.flatnonzero(cut[1:] & (kind > 0)) + 1
     sums = powers.running(LOWER[data].astype(U64) + U64(1))
     return mix(powers.ranges(sums, start, end)), np.searchsorted(start, offsets)
 
@@ -138,6 +141,14 @@ def batches_of(rows: dict[str, np.ndarray | list], schema: pa.Schema, most: int
     return table.to_batches(max_chunksize=most)
 
 
+def labelled_sample(labels: DataFrame, column: str, most: int) -> DataFrame:
+    """At most ``most`` labelled documents, those of the smallest hash: (id, label), one row an id, the larger label of
+    two. Rows without id or label are left out. The bound makes it small enough to broadcast."""
+    known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(column).cast("int").alias("label")).dropna()
+    known = known.groupBy("id").agg(F.max("label").alias("label"))
+    return known.orderBy(F.xxhash64("id"), "id").limit(most)
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.llm.bpe import bpe_decode, bpe_encode, load_vocabulary
+from postlens.llm.decontaminate import contaminated
 from postlens.llm.minhash import minhash_groups
 from postlens.llm.suffix_dedup import suffix_dedup
+from postlens.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +73,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_decode(spark, ids, vocabulary).select(
         "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity(spark, docs, _read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@_query("op8_decontaminate")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return contaminated(spark, docs, _read(spark, sf_dir, "benchmark")).drop("tie")
