@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from postlens.llm.bpe import bpe_decode, bpe_encode, load_vocabulary
 from postlens.llm.decontaminate import contaminated
 from postlens.llm.minhash import minhash_groups
+from postlens.llm.resampling import importance_resample
+from postlens.llm.sharding import balanced, grown, hash_tree_shards
 from postlens.llm.suffix_dedup import suffix_dedup
 from postlens.llm.toxicity import toxicity
 
@@ -85,3 +87,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return contaminated(spark, docs, _read(spark, sf_dir, "benchmark")).drop("tie")
+
+
+@_query("op3_hash_tree_shards")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = balanced(8)
+    return hash_tree_shards(spark, _read(spark, sf_dir, "documents").select("doc_id", "text"), tree, grown(tree))
+
+
+@_query("op9_importance_resample")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance_resample(spark, docs, _read(spark, sf_dir, "labels")).where("kept").select("doc_id", "n_grams", "log_weight", "key")
