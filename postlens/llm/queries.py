@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from postlens.llm.bpe import bpe_decode, bpe_encode, load_vocabulary
 from postlens.llm.decontaminate import contaminated
+from postlens.llm.embedding_dedup import embedding_groups
 from postlens.llm.minhash import minhash_groups
 from postlens.llm.resampling import importance_resample
 from postlens.llm.sharding import balanced, grown, hash_tree_shards
@@ -99,3 +100,21 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return importance_resample(spark, docs, _read(spark, sf_dir, "labels")).where("kept").select("doc_id", "n_grams", "log_weight", "key")
+
+
+_OP6_SQL = """
+WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS u, b.vec_id AS v FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+           AND list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (WITH RECURSIVE r(u, v) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.u, l.v FROM r JOIN link l ON r.v = l.u)
+          SELECT u, min(v) AS low FROM r GROUP BY u)
+SELECT e.vec_id, (SELECT count(*) FROM link WHERE u = e.vec_id)::BIGINT AS n_links, r.low AS component_id, e.vec_id = r.low AS kept
+FROM embeddings e JOIN reach r ON r.u = e.vec_id"""
+
+
+@_query("op6_embedding_dedup", _OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(spark, _read(spark, sf_dir, "embeddings"), 0.98)
