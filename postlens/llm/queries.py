@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.llm.bpe import bpe_decode, bpe_encode, load_vocabulary
+from postlens.llm.chat_format import chat_messages
 from postlens.llm.decontaminate import contaminated
 from postlens.llm.embedding_dedup import embedding_groups
 from postlens.llm.minhash import minhash_groups
@@ -16,6 +17,7 @@ from postlens.llm.resampling import importance_resample
 from postlens.llm.sharding import balanced, grown, hash_tree_shards
 from postlens.llm.suffix_dedup import suffix_dedup
 from postlens.llm.toxicity import toxicity
+from postlens.llm.url_filter import url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +120,51 @@ FROM embeddings e JOIN reach r ON r.u = e.vec_id"""
 @_query("op6_embedding_dedup", _OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(spark, _read(spark, sf_dir, "embeddings"), 0.98)
+
+
+URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+
+_OP5_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS text FROM pages),
+r AS (SELECT page_id, text, CASE WHEN instr(text, '://') > 0 THEN substr(text, instr(text, '://') + 3) ELSE '' END AS rest FROM p),
+h AS (SELECT page_id, text, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+rules(rule, dom, pre, word) AS (VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+  ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
+-- one row a page, so that repeated page_ids stay apart
+n AS (SELECT *, row_number() OVER () AS k FROM h),
+f AS (SELECT n.k, arg_max(rule, length(rule)) AS rule, arg_max(word, length(rule)) AS word FROM n JOIN rules
+      ON (host = dom OR ends_with(host, '.' || dom)) AND starts_with(path, pre) GROUP BY n.k),
+m AS (SELECT n.*, f.rule, f.word FROM n LEFT JOIN f USING (k)),
+u AS (SELECT text, min(word) AS word FROM m GROUP BY text),
+g AS (SELECT text, word, substr(repeat(chr(2), 3) || text || chr(3), i, 4) AS g4 FROM (SELECT text, word, unnest(range(1, length(text) + 2)) AS i FROM u)),
+t4 AS (SELECT g4 AS g, count(*) FILTER (word = 'allow') AS a, count(*) FILTER (word = 'block') AS b FROM g GROUP BY g4),
+t3 AS (SELECT substr(g, 2) AS g, sum(a) AS a, sum(b) AS b FROM t4 GROUP BY 1),
+t2 AS (SELECT substr(g, 2) AS g, sum(a) AS a, sum(b) AS b FROM t3 GROUP BY 1),
+t1 AS (SELECT substr(g, 2) AS g, sum(a) AS a, sum(b) AS b FROM t2 GROUP BY 1),
+p1 AS (SELECT g, (a + 4.0::DOUBLE / 256) / ((SELECT sum(a) FROM t1) + 4.0::DOUBLE) AS pa, (b + 4.0::DOUBLE / 256) / ((SELECT sum(b) FROM t1) + 4.0::DOUBLE) AS pb FROM t1),
+p2 AS (SELECT x.g, (x.a + 4.0::DOUBLE * pa) / (sum(x.a) OVER w + 4.0::DOUBLE) AS pa, (x.b + 4.0::DOUBLE * pb) / (sum(x.b) OVER w + 4.0::DOUBLE) AS pb
+       FROM t2 x JOIN p1 ON p1.g = substr(x.g, 2) WINDOW w AS (PARTITION BY substr(x.g, 1, 1))),
+p3 AS (SELECT x.g, (x.a + 4.0::DOUBLE * pa) / (sum(x.a) OVER w + 4.0::DOUBLE) AS pa, (x.b + 4.0::DOUBLE * pb) / (sum(x.b) OVER w + 4.0::DOUBLE) AS pb
+       FROM t3 x JOIN p2 ON p2.g = substr(x.g, 2) WINDOW w AS (PARTITION BY substr(x.g, 1, 2))),
+p4 AS (SELECT x.g, (x.a + 4.0::DOUBLE * pa) / (sum(x.a) OVER w + 4.0::DOUBLE) AS pa, (x.b + 4.0::DOUBLE * pb) / (sum(x.b) OVER w + 4.0::DOUBLE) AS pb
+       FROM t4 x JOIN p3 ON p3.g = substr(x.g, 2) WINDOW w AS (PARTITION BY substr(x.g, 1, 3))),
+s AS (SELECT text, word, sum(round((ln(pa) - ln(pb)) * 1000000)::BIGINT)::DOUBLE / count(*) / 1000000 AS score
+      FROM g JOIN p4 ON p4.g = g.g4 GROUP BY text, word),
+cells AS (SELECT least(greatest(floor((score + 20) * 100)::INT, 0), 3999) AS cell, count(*) FILTER (word = 'allow') AS a,
+            count(*) FILTER (word = 'block') AS b FROM s WHERE word IS NOT NULL GROUP BY 1),
+cum AS (SELECT cell, sum(a) OVER () AS ta, sum(b) OVER () AS tb, coalesce(sum(a) OVER q, 0) AS ba, coalesce(sum(b) OVER q, 0) AS bb FROM cells
+        WINDOW q AS (ORDER BY cell ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+lim AS (SELECT cell / 100.0::DOUBLE - 20 AS edge FROM cum ORDER BY (ta - ba)::DOUBLE / ta + bb::DOUBLE / tb DESC, cell LIMIT 1)
+SELECT page_id, host, path, rule, coalesce(m.word, CASE WHEN s.score >= (SELECT edge FROM lim) THEN 'allow' ELSE 'block' END) AS verdict
+FROM m JOIN s USING (text)"""
+
+
+@_query("op5_url_filter", _OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(spark, _read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@_query("op4_quotation_linking")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_messages(spark, _read(spark, sf_dir, "conversations"))

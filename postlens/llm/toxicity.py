@@ -101,13 +101,14 @@ def maximal_segments(at: list[int], before: list[float], after: list[float]) ->
 
 
 def _scan(model):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("best", pa.float64()),
+    schema = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("n_words", pa.int64()), ("best", pa.float64()),
                         ("passages", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, scores = Powers(), model.value
         for batch in batches:
-            for ids, data, offsets in text_chunks(batch.column("doc_id").to_pylist(), batch.column("text")):
+            rows = list(zip(batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist()))
+            for ids, data, offsets in text_chunks(rows, batch.column("text")):
                 words, at = word_hashes(data, offsets, powers, ALNUM)
                 s = scores[(words >> U64(64 - BITS)).astype(np.int64)]
                 up = np.flatnonzero(s > 0)
@@ -120,7 +121,7 @@ def _scan(model):
                     got = maximal_segments((own - at[i]).tolist(), (total[own] / 2**20).tolist(), (total[own + 1] / 2**20).tolist())
                     best[i] = max(x[2] for x in got)
                     passages[i] = [{"first": a, "last": b, "score": x} for a, b, x in got]
-                yield from batches_of({"doc_id": ids, "n_words": np.diff(at), "best": best, "passages": passages}, schema)
+                yield from batches_of({"doc_id": [r[0] for r in ids], "tie": [r[1] for r in ids], "n_words": np.diff(at), "best": best, "passages": passages}, schema)
 
     return run
 
@@ -146,14 +147,15 @@ def fit_logistic(x: np.ndarray, ones: np.ndarray, zeros: np.ndarray) -> tuple[fl
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, training: int = TRAINING) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, held_out, score (0 to 1), predicted (score >= 0.5), n_words,
-    passages (first word, last word, score of each significant segment).
+    """One row per row of ``docs`` (doc_id, text): doc_id, tie (CRC-32 of the text), held_out, score (0 to 1), predicted
+    (score >= 0.5), n_words, passages (first word, last word, score of each significant segment).
 
     ``labels`` (doc_id, toxic): learnt are only documents that are not held out; of two labels of one document the
     larger counts, null ones don't. Documents are joined to labels by doc_id, so each row of a repeated doc_id counts.
     A null or empty text has no words and gets the score of a text without evidence; without labels of both kinds every
     score is the share of toxic labels, drawn to a half. Other columns are ignored."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("tie"), "text")
     train = labelled_sample(labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1)), "toxic", training)
     train = kept_table(spark, train, "toxic-training")
     known = base.join(F.broadcast(train), base.doc_id == train.id).select("label", "text")
@@ -168,7 +170,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, training:
 
     scanned = kept_table(spark, base.mapInArrow(
         _scan(spark.sparkContext.broadcast(scores)),
-        "doc_id long, n_words long, best double, passages array<struct<first:int,last:int,score:double>>"), "scanned")
+        "doc_id long, tie long, n_words long, best double, passages array<struct<first:int,last:int,score:double>>"), "scanned")
     size = F.log(F.greatest(F.col("n_words"), F.lit(1)).cast("double"))
     clean_best = scanned.join(train.where("label = 0"), F.col("doc_id") == F.col("id"))
     mean = clean_best.agg(F.avg(F.greatest(F.lit(lam) * F.col("best") - size, F.lit(-30.0)))).first()[0]
@@ -193,6 +195,6 @@ def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, training:
 
     score = F.round(1 / (1 + F.exp(-(F.lit(slope) * F.col("evidence") + F.lit(shift)))), 9)
     bar = (size + F.lit(log_k - math.log(EXPECTED))) / F.lit(lam)
-    return scanned.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
+    return scanned.select("doc_id", "tie", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
                           (score >= 0.5).cast("int").alias("predicted"), "n_words",
                           F.filter("passages", lambda x: x["score"] >= bar).alias("passages"))
