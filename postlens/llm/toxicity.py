@@ -12,6 +12,9 @@ number of segments that score S or more is about Poisson, so r of them have a pr
 evidence is the largest -ln of that over its r best segments, r = 1, 2, ... A logistic curve fitted on the training
 documents makes it a probability.
 
+Of training documents of one label whose sketches of three coordinates agree, as those of copies mostly do, only one is
+learnt from: a copied text would make all its words look telling.
+
 Bounds: the training documents are at most ``TRAINING`` labelled rows (smallest hashes); only the model (BUCKETS numbers)
 and a histogram of BINS cells reach the driver and are broadcast.
 """
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm.common import ALNUM, U64, Powers, batches_of, kept_table, labelled_sample, text_chunks, word_hashes
+from postlens.llm.common import ALNUM, U64, Powers, batches_of, kept_table, labelled_sample, mix, shingle_sets, signed, text_chunks, word_hashes
 
 TRAINING = 100_000
 BITS = 18
@@ -55,6 +58,21 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from batches_of({"bucket": some, "clean": seen[0][some], "toxic": seen[1][some]}, schema)
 
 
+def _signature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of three hashes of the pairs of neighbouring words, the smallest values together: alike for most copies of a
+    text, and hardly ever for texts that only share common words."""
+    schema = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("signature", pa.int64())])
+    powers = Powers()
+    for batch in batches:
+        rows = list(zip(batch.column("id").to_pylist(), batch.column("label").to_pylist()))
+        for ids, data, offsets in text_chunks(rows, batch.column("text")):
+            sets, at = shingle_sets(*word_hashes(data, offsets, powers, ALNUM), 2)
+            least, full = np.zeros(len(ids), U64), np.flatnonzero(np.diff(at))
+            for seed in range(1, 4 if len(full) else 1):
+                least[full] = mix(least[full] ^ np.minimum.reduceat(mix(sets ^ U64(seed)), at[full]))
+            yield from batches_of({"id": [r[0] for r in ids], "label": [r[1] for r in ids], "signature": signed(least)}, schema)
+
+
 def token_scores(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int) -> np.ndarray:
     """Score of each bucket, by the training documents that have it: its shrunk log-odds ratio less the drift. Without
     documents of both kinds all are -DRIFT."""
@@ -158,6 +176,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, training:
                        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("tie"), "text")
     train = labelled_sample(labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1)), "toxic", training)
     train = kept_table(spark, train, "toxic-training")
+    known = base.join(F.broadcast(train), base.doc_id == train.id).select("id", "label", "text")
+    train = known.mapInArrow(_signature, "id long, label int, signature long").groupBy("signature", "label").agg(F.min("id").alias("id"))
+    train = kept_table(spark, train.groupBy("id").agg(F.max("label").alias("label")), "toxic-training")
     known = base.join(F.broadcast(train), base.doc_id == train.id).select("label", "text")
     counts = known.mapInArrow(_count, "bucket int, clean long, toxic long").groupBy("bucket").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()
