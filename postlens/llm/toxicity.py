@@ -34,7 +34,7 @@ from postlens.llm.common import ALNUM, U64, Powers, batches_of, kept_table, labe
 TRAINING = 100_000
 BITS = 18
 BUCKETS = 1 << BITS
-PRIOR, SHRINK, DRIFT, EXPECTED = 1.0, 2.5, 0.1, 0.01
+PRIOR, SHRINK, DRIFT, EXPECTED = 1.0, 2.5, 1.0, 0.01
 BINS, LOW, HIGH = 400, -20.0, 60.0
 
 
