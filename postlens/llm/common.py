@@ -89,6 +89,7 @@ def text_chunks(ids: list, texts: pa.Array, limit: int = 1 << 20) -> Iterator[tu
         size += len(b)
     if got:
         yield got, np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
+    pa.default_memory_pool().release_unused()
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, powers: Powers, kinds: np.ndarray = (~SPACE).astype(np.uint8)

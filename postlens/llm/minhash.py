@@ -9,10 +9,10 @@ Banding: sets that agree on all ROWS coordinates of a band meet in a bucket; at
 bands with probability 5e-6. Equal sets are one node from the start, so copies cost nothing.
 
 Verification counts shared shingles of the full sets. First each node is checked against one node: the smallest of its
-buckets' smallest that it meets most often. Then, while some bucket holds more than one component, nodes outside its
-largest component are compared with the bucket's other components by their sketches (in blocks, inside the tasks), and
-the pairs whose sketches allow the similarity are verified, the most similar few first, then more and more of them, up
-to all. Pairs already inside one component need no check. No pair is emitted but those to verify.
+buckets' smallest that it meets most often. Where a bucket still holds more than one component, its nodes outside the
+largest one are compared with all others, in blocks dealt to many tasks, each pair in the first bucket that both share:
+first by sketch, which leaves out pairs that can't be similar enough, then, for nodes that are left, by full sets, most
+alike pairs first, as long as the two are not connected yet. No pairs are emitted, only the links that connect.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ SIZE = BANDS * ROWS
 #: million.
 DEVIATIONS = 4.8
 #: Members of a bucket that are compared in one block, and partners of one node that are verified in one task.
-BLOCK, GROUP = 512, 128
+BLOCK, GROUP = 256, 128
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 
 _SKETCHED = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()),
@@ -131,49 +131,97 @@ def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, size: int
     return kept_table(spark, rows.mapInArrow(_check_pairs(size, per_cent), "u long, v long"), "links")
 
 
-def _alike(per_cent: int, most: int):
-    """Of one block of a bucket, for each asking node its ``most`` most alike partners in other components."""
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("same", pa.int32())])
+def _open_pairs(table: pa.Table, least: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each asking row the rows of other components that it first meets in this bucket and whose sketches allow the
+    similarity, and the number of coordinates on which they agree."""
+    asks = table.column("asks").to_numpy(zero_copy_only=False).astype(bool)
+    label = table.column("label").to_numpy()
+    coords = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SIZE)
+    bands = np.array(table.column("bands").to_pylist(), np.int64)
+    others = np.flatnonzero(~asks)
+    before = int(np.flatnonzero(bands[0] == table.column("bucket")[0].as_py())[0])
+    earlier, theirs, labels = bands[others, :before], coords[others], label[others]
+    for i in np.flatnonzero(asks):
+        ok = np.flatnonzero((labels != label[i]) & ~(earlier == bands[i, :before]).any(axis=1))
+        same = (theirs[ok] == coords[i]).sum(axis=1)
+        yield i, others[ok[same >= least]], same[same >= least]
+
+
+def _least(per_cent: int) -> int:
     share = per_cent / 100
-    least = math.floor(SIZE * share - DEVIATIONS * math.sqrt(SIZE * share * (1 - share)))
+    return math.floor(SIZE * share - DEVIATIONS * math.sqrt(SIZE * share * (1 - share)))
+
+
+_BLOCK_COLUMNS = "bucket long, i long, j long, asks boolean, node long, label long"
+
+
+def _concerned(per_cent: int):
+    """The rows of a block that have a pair to verify."""
+    names = ["bucket", "i", "j", "asks", "node", "label"]
+
+    def run(table: pa.Table) -> pa.Table:
+        use = np.zeros(table.num_rows, bool)
+        for i, partners, _ in _open_pairs(table, _least(per_cent)):
+            if len(partners):
+                use[i] = True
+                use[partners] = True
+        return table.select(names).filter(pa.array(use))
+
+    return run
+
+
+def _connect(size: int, per_cent: int):
+    """Links between components among the pairs of a block, by full sets."""
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
-        asks = table.column("asks").to_numpy(zero_copy_only=False).astype(bool)
-        node, comp = table.column("node").to_numpy(), table.column("label").to_numpy()
-        coords = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SIZE)
-        u_out, v_out, same_out = [], [], []
-        others = ~asks
-        for i in np.flatnonzero(asks):
-            same = (coords[others] == coords[i]).sum(axis=1)
-            ok = np.flatnonzero((same >= least) & (comp[others] != comp[i]))
-            best = ok[np.lexsort((node[others][ok], -same[ok]))][:most]
-            u_out.append(np.full(len(best), node[i]))
-            v_out.append(node[others][best])
-            same_out.append(same[best])
-        got = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (u_out, v_out, same_out)]
-        return pa.table([pa.array(x, f.type) for x, f in zip(got, schema)], schema=schema)
+        powers, sets = Powers(), []
+        for _, data, offsets in text_chunks([None] * table.num_rows, table.column("text").combine_chunks()):
+            got, at = shingle_sets(*word_hashes(data, offsets, powers), size)
+            sets += [got[a:b] for a, b in zip(at, at[1:])]
+        node, label = table.column("node").to_numpy(), table.column("label").to_pylist()
+        top = {x: x for x in label}
+
+        def root(x: int) -> int:
+            while top[x] != x:
+                top[x] = top[top[x]]
+                x = top[x]
+            return x
+
+        links = []
+        for i, partners, same in _open_pairs(table, _least(per_cent)):
+            for j in partners[np.argsort(-same, kind="stable")]:
+                a, b = sets[i], sets[j]
+                x, y = root(label[i]), root(label[j])
+                if x != y and 100 * min(len(a), len(b)) >= per_cent * max(len(a), len(b)):
+                    both = np.count_nonzero(a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b)
+                    if 100 * both >= per_cent * (len(a) + len(b) - both):
+                        top[y] = x
+                        links.append((node[i], node[j]))
+        return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], schema=schema)
 
     return run
 
 
-def _across(met: DataFrame, labels: DataFrame, nodes: DataFrame, per_cent: int, most: int) -> DataFrame:
-    """Pairs (u, v, same) of different components that share a bucket and whose sketches allow the similarity: for each
-    node outside its bucket's largest component, up to ``most`` of a block."""
+def _links_across(spark: SparkSession, met: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, per_cent: int) -> DataFrame:
+    """Links (u, v) that connect different components of a bucket."""
     rows = met.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     sizes = rows.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("members"),
                                         F.count("*").alias("labels")).where("labels > 1")
     rows = rows.join(mixed, "bucket").withColumn("outside", F.col("label") != F.col("top.label"))
     askers, others = F.ceil((F.col("members") - F.col("top.n")) / BLOCK), F.ceil(F.col("members") / BLOCK)
-    rows = rows.join(nodes.select("node", "sketch"), "node")
     ask = rows.where("outside").select(
         "bucket", F.pmod(F.xxhash64("node"), askers).alias("i"),
-        F.explode(F.sequence(F.lit(0).cast("long"), others - 1)).alias("j"), F.lit(True).alias("asks"), "node", "label", "sketch")
+        F.explode(F.sequence(F.lit(0).cast("long"), others - 1)).alias("j"), F.lit(True).alias("asks"), "node", "label")
     answer = rows.select(
         "bucket", F.explode(F.sequence(F.lit(0).cast("long"), askers - 1)).alias("i"),
-        F.pmod(F.xxhash64(F.col("node"), F.lit(1)), others).alias("j"), F.lit(False).alias("asks"), "node", "label", "sketch")
-    pairs = ask.unionByName(answer).groupBy("bucket", "i", "j").applyInArrow(_alike(per_cent, most), "u long, v long, same int")
-    return pairs.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.max("same").alias("same"))
+        F.pmod(F.xxhash64(F.col("node"), F.lit(1)), others).alias("j"), F.lit(False).alias("asks"), "node", "label")
+    sketched = nodes.select("node", "sketch", "bands")
+    dealt = ask.unionByName(answer).join(sketched, "node")
+    left = kept_table(spark, dealt.groupBy("bucket", "i", "j").applyInArrow(_concerned(per_cent), _BLOCK_COLUMNS), "blocks")
+    whole = left.join(sketched, "node").join(texts, "node")
+    return kept_table(spark, whole.groupBy("bucket", "i", "j").applyInArrow(_connect(size, per_cent), "u long, v long"), "links")
 
 
 def minhash_groups(spark: SparkSession, docs: DataFrame, size: int = 2, per_cent: int = 80) -> DataFrame:
@@ -209,20 +257,10 @@ def minhash_groups(spark: SparkSession, docs: DataFrame, size: int = 2, per_cent
     texts = kept_table(spark, source.join(wanted, ["d", "none", "tie"]).dropDuplicates(["node"]).select("node", "text"), "texts")
 
     links = _verified(spark, pairs, texts, size, per_cent)
-    tried, most = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), 2
-    while True:
-        labels = components(spark, links)
-        more = _across(met.select("bucket", "node"), labels, nodes, per_cent, most).join(tried, ["u", "v"], "left_anti")
-        more = kept_table(spark, more.select("u", "v"), "pairs")
-        if more.limit(1).count() == 0:
-            # nothing new among the best of each block: look at all of them before it ends
-            if most >= BLOCK:
-                break
-            most = BLOCK
-            continue
-        links = links.unionByName(_verified(spark, more, texts, size, per_cent))
-        tried = tried.unionByName(more)
-        most = min(BLOCK, most * 4)
+    labels = components(spark, links)
+    more = _links_across(spark, met.select("bucket", "node"), labels, nodes, texts, size, per_cent)
+    if more.limit(1).count():
+        labels = components(spark, links.unionByName(more))
 
     named = nodes.select("node", "low").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     lows = named.groupBy("label").agg(F.min("low").alias("component_id"))
