@@ -153,9 +153,9 @@ s AS (SELECT text, word, sum(round((ln(pa) - ln(pb)) * 1000000)::BIGINT)::DOUBLE
       FROM g JOIN p4 ON p4.g = g.g4 GROUP BY text, word),
 cells AS (SELECT least(greatest(floor((score + 20) * 100)::INT, 0), 3999) AS cell, count(*) FILTER (word = 'allow') AS a,
             count(*) FILTER (word = 'block') AS b FROM s WHERE word IS NOT NULL GROUP BY 1),
-cum AS (SELECT cell, sum(a) OVER () AS ta, sum(b) OVER () AS tb, coalesce(sum(a) OVER q, 0) AS ba, coalesce(sum(b) OVER q, 0) AS bb FROM cells
+cum AS (SELECT cell, lag(cell) OVER (ORDER BY cell) AS last, sum(a) OVER () AS ta, sum(b) OVER () AS tb, coalesce(sum(a) OVER q, 0) AS ba, coalesce(sum(b) OVER q, 0) AS bb FROM cells
         WINDOW q AS (ORDER BY cell ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-lim AS (SELECT cell / 100.0::DOUBLE - 20 AS edge FROM cum ORDER BY (ta - ba)::DOUBLE / ta + bb::DOUBLE / tb DESC, cell LIMIT 1)
+lim AS (SELECT (cell + coalesce(last + 1, cell)) / 2.0::DOUBLE / 100 - 20 AS edge FROM cum ORDER BY (ta - ba)::DOUBLE / ta + bb::DOUBLE / tb DESC, cell LIMIT 1)
 SELECT page_id, host, path, rule, coalesce(m.word, CASE WHEN s.score >= (SELECT edge FROM lim) THEN 'allow' ELSE 'block' END) AS verdict
 FROM m JOIN s USING (text)"""
 

@@ -104,12 +104,13 @@ def url_verdicts(spark: SparkSession, pages: DataFrame, rules: dict[str, str]) -
         counts = scored.where("ruled IS NOT NULL").groupBy(cell.alias("cell")).agg(
             F.count_if(F.col("ruled") == "allow").alias("a"), F.count_if(F.col("ruled") == "block").alias("b")).collect()
         a_total, b_total = sum(r["a"] for r in counts), sum(r["b"] for r in counts)
-        best, below_a, below_b = -1.0, 0, 0
-        for r in sorted(counts, key=lambda r: r["cell"]):  # the limit is the lower edge of a cell that holds urls
+        best, below_a, below_b, last = -1.0, 0, 0, None
+        for r in sorted(counts, key=lambda r: r["cell"]):  # limits lie half-way between cells that hold urls
             good = (a_total - below_a) / a_total + below_b / b_total
             if good > best:
-                best, limit = good, r["cell"] * (2 * REACH / BINS) - REACH
-            below_a, below_b = below_a + r["a"], below_b + r["b"]
+                best, edge = good, (r["cell"] + (r["cell"] if last is None else last + 1)) / 2
+                limit = edge * (2 * REACH / BINS) - REACH
+            below_a, below_b, last = below_a + r["a"], below_b + r["b"], r["cell"]
     out = rows.join(scored.select("text", "score"), "text")
     method = F.when(F.col("score") >= limit, F.lit("allow")).otherwise(F.lit("block"))
     return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "score", F.lit(limit).alias("limit"))
