@@ -148,8 +148,8 @@ def iso_date(c: str | Column) -> Column:
 
 
 def in_region(c: str | Column, words: Sequence[str] = ELIGIBLE_WORDS, codes: Sequence[str] = STATE_CODES,
-              marker: str | None = REMOTE_MARKER, bounded_words: bool = True) -> Column:
-    """eligibility words (case-insensitive) OR ', XX' state code (case-sensitive, bounded) OR marker."""
+              marker: str | None = REMOTE_MARKER, bounded_words: bool = False) -> Column:
+    """eligibility words (case-insensitive; inside longer words too unless ``bounded_words``) OR ', XX' state code (case-sensitive, bounded) OR marker."""
     loc = F.coalesce(col_of(c), F.lit(""))
     alt = "|".join(regex_quote(w) for w in words)
     word_re = rf"(?iu)(?<![\p{{L}}\p{{N}}_])(?:{alt})(?![\p{{L}}\p{{N}}_])" if bounded_words else rf"(?iu)(?:{alt})"
@@ -280,15 +280,22 @@ def _reply_body(c: str | Column) -> Column:
     return F.when(t.startswith("```"), fenced).otherwise(t)
 
 
-def reply_ok(c: str | Column) -> Column:
-    """True when the (de-fenced) reply is valid JSON."""
-    return F.get_json_object(_reply_body(c), "$").isNotNull()
+def reply_ok(c: str | Column, text_lists: Sequence[str] = ("skills",)) -> Column:
+    """True when the (de-fenced) reply is one complete JSON object and its ``text_lists`` hold nothing but strings."""
+    body = _reply_body(c)
+    ok = F.coalesce(F.size(F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<string>")) == 1, F.lit(False))
+    ok = ok & F.json_object_keys(body).isNotNull()
+    parsed = F.try_parse_json(body)
+    for name in text_lists:
+        items = F.try_variant_get(parsed, f"$.{name}", "array<variant>")
+        ok = ok & F.coalesce(F.forall(items, lambda x: F.schema_of_variant(x) == "STRING"), F.lit(True))
+    return F.coalesce(ok, F.lit(False))
 
 
 def parse_reply(c: str | Column, schema: DataType | str) -> Column:
-    """strip, drop a code fence and its 'json' tag, parse; invalid JSON -> NULL (count it as failed)."""
-    body = _reply_body(c)
-    return F.when(F.get_json_object(body, "$").isNotNull(), F.from_json(body, schema))
+    """strip, drop a code fence and its 'json' tag, parse; anything ``reply_ok`` rejects -> NULL (count it as
+    failed)."""
+    return F.when(reply_ok(c), F.from_json(_reply_body(c), schema))
 
 
 def clean_terms(c: str | Column, max_len: int = 80, aliases: Mapping[str, str] = ALIASES) -> Column:

@@ -19,7 +19,7 @@ from postlens.session import checkpoint_dir
 REPLY_SCHEMA = "skills array<string>, seniority string"
 
 
-def enrich(df: DataFrame, key: str, text: str, fn: Callable[[pd.Series], pd.Series], max_chars: int | None = 6000,
+def enrich(df: DataFrame, key: str, text: str, fn: Callable[[pd.Series], pd.Series], max_chars: int | None = None,
            partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Return (ok: key, skills, seniority, method) and (rejected: key, reply)."""
     prompt = F.col(text) if max_chars is None else F.substring(F.col(text), 1, max_chars)

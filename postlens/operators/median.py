@@ -1,100 +1,54 @@
-"""Exact per-group median without ever holding an unbounded group in one task.
+"""Exact per-group median in one lazy plan, without a group ever standing in one task.
 
-``median(x)`` keeps a value->count map per group and merges it in one task, so a group holding a third of all rows
-(with many distinct values) would land whole in one task. ``exact_median`` narrows instead:
-
-1. one aggregation gives every group its size ``n`` and value range; the two target ranks are (n-1) div 2 and n div 2;
-2. while some group still has more than ``threshold`` candidate rows, its candidates are cut into ~``quantiles``
-   buckets at approximate quantiles (a mergeable fixed-size sketch), bucket counts are summed (map-side combine),
-   and only the buckets that contain the target ranks stay candidates (the rows below them are counted, not kept);
-3. finally each group's candidates (at most ``threshold`` values, or a single repeated value) are sorted and the
-   target ranks are read exactly.
-
-Every pass is a filter + partial aggregation over the data and a join with a per-group state table (one row per
-group, checkpointed each round).
-
-Step 1 is preceded by one size pass (group sizes aggregated map-side, only the largest size reaches the driver). When
-no group exceeds ``threshold`` rows, the built-in ``median`` is exact and safe (its buffer is bounded by the group
-size), so the result is that plain lazy aggregation and no narrowing job runs.
+Rows are first counted by (group, value), so a value that fills half a group is one row. A mergeable quantile sketch of
+the group, whose rank error is at most n / ``ACCURACY``, gives two values that surely enclose the middle ranks. Counts
+below them are summed, and only the distinct values between them (about 1 / 1,000 of the group's rows at most, besides
+ties) are put in order to read the middle ranks exactly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.session import checkpoint_dir
-
 _KEY = "_grp"
-
-
-def _interval(lo: Column, hi: Column, v: Column) -> Column:
-    return (lo.isNull() | (v >= lo)) & (hi.isNull() | (v <= hi))
+#: The sketch's rank error is n / ACCURACY; the bracket leaves twice that on either side of the middle.
+ACCURACY = 4_000
 
 
 def exact_median(df: DataFrame, by: Sequence[str], value: str | Column, out: str = "median",
-                 threshold: int = 1_000_000, quantiles: int = 200, accuracy: int = 100_000,
-                 max_rounds: int = 12, count_col: str | None = None) -> DataFrame:
+                 count_col: str | None = None) -> DataFrame:
     """(by..., out[, count_col]) with the interpolated median of ``value`` per group; NULL values are ignored, groups
-    without a value are absent (join back with a left join to get NULL).
-
-    The size pass runs eagerly. Only when a group exceeds ``threshold``: the two-column input projection is persisted
-    (memory and disk) for the narrowing passes, the small result is checkpointed, then the input is released."""
+    without a value are absent (join back with a left join to get NULL). Nothing runs while the plan is made."""
     by = list(by)
-    keys = by if by else [_KEY]
+    keys = by or [_KEY]
     v = F.col(value) if isinstance(value, str) else value
     src = df.select(*[F.col(c) for c in by], v.cast("double").alias("_v"))
     if not by:
         src = src.withColumn(_KEY, F.lit(0))
     src = src.where(F.col("_v").isNotNull())
-    largest = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if largest is None or largest <= threshold:
-        res = src.groupBy(*keys).agg(F.median("_v").alias(out), F.count(F.lit(1)).alias("n"))
-        res = res.withColumnRenamed("n", count_col) if count_col else res.drop("n")
-        return res.drop(_KEY) if not by else res
-    src = src.persist(StorageLevel.MEMORY_AND_DISK)
-
-    st = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("cmin"), F.max("_v").alias("cmax"))
-    st = st.select(*keys, "n", F.expr("(n - 1) div 2").alias("rlo"), F.expr("n div 2").alias("rhi"),
-                   F.lit(0).cast("long").alias("c"), F.col("n").alias("cand"), "cmin", "cmax",
-                   F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
-    checkpoint_dir(df.sparkSession)
-    st = st.checkpoint(eager=True)  # one row per group: the size check and the final pick reuse it
-    grid = [i / quantiles for i in range(1, quantiles)]
-    for _ in range(max_rounds):
-        big = st.where((F.col("cand") > threshold) & (F.col("cmin") < F.col("cmax")))
-        if big.limit(1).count() == 0:
-            break
-        cand = src.join(big.select(*keys, "lo", "hi"), keys).where(_interval(F.col("lo"), F.col("hi"), F.col("_v")))
-        bounds = cand.groupBy(*keys).agg(F.percentile_approx("_v", grid, accuracy).alias("b"))
-        bucket = F.size(F.filter("b", lambda x: x <= F.col("_v")))
-        hist = (cand.join(bounds, keys).groupBy(*keys, bucket.alias("bk"))
-                .agg(F.count(F.lit(1)).alias("nb"), F.min("_v").alias("bmin"), F.max("_v").alias("bmax")))
-        w = Window.partitionBy(*keys).orderBy("bk").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("below", F.coalesce(F.sum("nb").over(w), F.lit(0)))
-        sel = hist.join(big.select(*keys, "c", "rlo", "rhi"), keys).where(
-            (F.col("c") + F.col("below") <= F.col("rhi")) & (F.col("c") + F.col("below") + F.col("nb") > F.col("rlo")))
-        new = sel.groupBy(*keys).agg(
-            F.min(F.col("c") + F.col("below")).alias("n_c"), F.sum("nb").alias("n_cand"),
-            F.min("bmin").alias("n_min"), F.max("bmax").alias("n_max"))
-        st = st.join(new, keys, "left").select(
-            *keys, "n", "rlo", "rhi",
-            F.coalesce("n_c", "c").alias("c"), F.coalesce("n_cand", "cand").alias("cand"),
-            F.coalesce("n_min", "cmin").alias("cmin"), F.coalesce("n_max", "cmax").alias("cmax"),
-            F.when(F.col("n_c").isNotNull(), F.col("n_min")).otherwise(F.col("lo")).alias("lo"),
-            F.when(F.col("n_c").isNotNull(), F.col("n_max")).otherwise(F.col("hi")).alias("hi"),
-        ).checkpoint(eager=True)  # small state table; cuts the growing lineage of the loop
-
-    same = st.where(F.col("cmin") == F.col("cmax")).select(*keys, "n", F.col("cmin").alias(out))
-    rest = st.where(F.col("cmin") < F.col("cmax")).select(*keys, "n", "lo", "hi", "c", "rlo", "rhi")
-    picked = (src.join(rest, keys).where(_interval(F.col("lo"), F.col("hi"), F.col("_v")))
-              .groupBy(*keys, "n", "c", "rlo", "rhi").agg(F.array_sort(F.collect_list("_v")).alias("a"))
-              .select(*keys, "n", ((F.element_at("a", (F.col("rlo") - F.col("c") + 1).cast("int"))
-                                    + F.element_at("a", (F.col("rhi") - F.col("c") + 1).cast("int"))) / 2).alias(out)))
-    res = same.unionByName(picked)
-    res = (res.withColumnRenamed("n", count_col) if count_col else res.drop("n")).checkpoint(eager=True)
-    src.unpersist()
-    return res.drop(_KEY) if not by else res
+    counts = src.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    reach = 2 / ACCURACY
+    state = src.groupBy(*keys).agg(F.percentile_approx("_v", [0.5 - reach, 0.5 + reach], ACCURACY).alias("_b"), F.count(F.lit(1)).alias("_n"))
+    same = [counts[k].eqNullSafe(state[k]) for k in keys]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    both = counts.join(state, on).select(*[counts[k] for k in keys], "_v", "_c", "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
+    below = F.when(F.col("_v") < F.col("_lo"), F.col("_c")).otherwise(0)
+    # counts below the bracket are one row a group after this aggregate; values above it are not needed
+    inside = both.where(F.col("_v") <= F.col("_hi")).withColumn("_in", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")))
+    inside = inside.groupBy(*keys, "_n", "_in").agg(F.sum(below).alias("_below"), F.sum(F.when(F.col("_in").isNotNull(), F.col("_c")).otherwise(0)).alias("_c"))
+    order = Window.partitionBy(*keys).orderBy(F.col("_in").asc_nulls_first())
+    end = F.sum(F.col("_c") + F.col("_below")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = inside.withColumn("_end", end).where(F.col("_in").isNotNull())
+    first, second = F.expr("(_n - 1) div 2"), F.expr("_n div 2")
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("_end") > rank, F.col("_in")))
+
+    res = placed.groupBy(*keys, "_n").agg(((at(first) + at(second)) / 2).alias(out))
+    res = res.withColumnRenamed("_n", count_col) if count_col else res.drop("_n")
+    return res if by else res.drop(_KEY)

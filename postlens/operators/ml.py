@@ -188,7 +188,7 @@ def cluster_roles(docs: DataFrame, k: int = 6, seeds: Sequence[int] = tuple(rang
     earlier seed). Up to ``parallelism`` restarts are fitted concurrently, each a distributed fit submitted from its
     own driver thread (as ``CrossValidator(parallelism=...)`` does)."""
     tok = docs.withColumn("tokens", tokenize("doc"))
-    cv = CountVectorizer(inputCol="tokens", outputCol="tf", minDF=float(min_df))
+    cv = CountVectorizer(inputCol="tokens", outputCol="tf", minDF=float(min_df), vocabSize=2**31 - 1)
     idf = IDF(inputCol="tf", outputCol="idf_raw")
     pre = Pipeline(stages=[cv, idf]).fit(tok)
     idf_vec = pre.stages[1].idf.toArray() + 1.0  # Spark's IDF lacks the +1 of the smoothed variant
@@ -197,7 +197,7 @@ def cluster_roles(docs: DataFrame, k: int = 6, seeds: Sequence[int] = tuple(rang
     x = norm.transform(scaled.transform(pre.stages[0].transform(tok))).select(key, "features").cache()
 
     def fit(seed: int):
-        return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(x)
+        return KMeans(k=k, seed=seed, maxIter=300, featuresCol="features", predictionCol="cluster").fit(x)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(seeds)))) as pool:
         models = list(pool.map(fit, seeds))

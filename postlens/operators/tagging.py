@@ -130,7 +130,7 @@ SKILL_FORMS = {
     "Hugging Face": ["hugging ?face"], "LangChain": ["langchain"], "Transformers": ["transformers"],
     "pandas": ["pandas"], "NumPy": ["numpy"], "Spark": ["spark", "pyspark"], "Hadoop": ["hadoop"],
     "Kafka": ["kafka"], "Airflow": ["airflow"], "dbt": ["dbt"], "Dagster": ["dagster"], "Prefect": ["prefect"],
-    "ETL": ["etl", "elt"], "Data Modeling": ["data model(?:ing|ling)"], "Data Governance": ["data governance"],
+    "ETL": ["etl", "elt"], "Data Modeling": ["data model(?:ing|ling)"], "Data Warehousing": ["data warehous"], "Data Governance": ["data governance"],
     "Snowflake": ["snowflake"], "Databricks": ["databricks"], "BigQuery": ["bigquery"], "Redshift": ["redshift"],
     "PostgreSQL": ["postgres(?:ql)?"], "MySQL": ["mysql"], "SQL Server": ["sql server", "mssql"],
     "MongoDB": ["mongodb", "mongo"], "Redis": ["redis"], "Elasticsearch": ["elasticsearch", "elastic search"],
@@ -152,7 +152,6 @@ SKILL_FORMS = {
 SKILL_CUSTOM = {
     "R": (r"(?:\bR programming\b|[,/(]\s*R\s*[,/)]|\bin R\b)", True, False),
     "C++": (r"(?iu)\bc\+\+", False, False),
-    "Data Warehousing": (r"(?iu)(?<![\p{L}\p{N}_])data warehous", False, False),
 }
 SENIORITY_RULES = [
     (r"(?iu)\b(?:staff|principal|lead|director|head of)\b", "staff+"),

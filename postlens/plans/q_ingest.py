@@ -279,7 +279,7 @@ _K2_SQL = JK_SQL + """
              UNION ALL SELECT job_id, skill, 'llm' FROM skills_fx WHERE skill IN ('Brand#1', 'Brand#2')),
 new AS (SELECT DISTINCT l_orderkey AS job_id, p_type AS skill, 'rules' AS method
         FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R')
-SELECT * FROM target t WHERE NOT (t.method = 'rules' AND t.job_id IN (SELECT job_id FROM new))
+SELECT * FROM target t WHERE NOT (t.method = 'rules' AND t.job_id IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag IN ('R', 'A')))
 UNION ALL SELECT * FROM new"""
 
 
@@ -293,7 +293,9 @@ def q_replace_by_key(spark, sf):
     new = (li.join(p, li.l_partkey == p.p_partkey)
            .select(F.col("l_orderkey").alias("job_id"), F.col("p_type").alias("skill"), F.lit("rules").alias("method"))
            .distinct())
-    return K.replace_by_key(target, new, "job_id", method="rules")
+    # orders with returned or accepted lines were worked on; those without returned ones yield nothing
+    done = table(spark, sf, "lineitem").where(F.col("l_returnflag").isin("R", "A")).select(F.col("l_orderkey").alias("job_id"))
+    return K.replace_by_key(target, new, "job_id", method="rules", processed=done)
 
 
 TITLE_RULES = [("URGENT", "staff+"), ("HIGH", "senior"), ("LOW", "entry")]

@@ -47,7 +47,7 @@ def q_parse_date(spark, sf):
 
 @query("in_region", JK_SQL + f"""
 SELECT job_id,
-       regexp_matches(coalesce(location, ''), '(?i)(^|{WB})(nation_1|middle east)({WB}|$)')
+       regexp_matches(coalesce(location, ''), '(?i)(nation_1|middle east)')
        OR regexp_matches(coalesce(location, ''), ',\\s*(?:ASIA|AFRICA)\\b')
        OR contains(coalesce(location, ''), 'NATION_22') AS eligible
 FROM jobs_fx""")

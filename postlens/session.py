@@ -16,11 +16,10 @@ def get_spark(master: str | None = None, app: str = "postlens", shuffle_partitio
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    parts = shuffle_partitions or int(os.environ.get("POSTLENS_SHUFFLE_PARTITIONS", "8"))
+    parts = shuffle_partitions or os.environ.get("POSTLENS_SHUFFLE_PARTITIONS")
     b = (
         b.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -28,6 +27,8 @@ def get_spark(master: str | None = None, app: str = "postlens", shuffle_partitio
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("POSTLENS_DRIVER_MEMORY", "16g"))
     )
+    if parts:  # else the launcher's number stands
+        b = b.config("spark.sql.shuffle.partitions", str(parts))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -36,10 +37,12 @@ def get_spark(master: str | None = None, app: str = "postlens", shuffle_partitio
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a fresh scratch folder is created and registered.
+    Where the setting is absent, a local session gets a fresh scratch folder, and any other raises.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="postlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

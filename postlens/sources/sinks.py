@@ -15,12 +15,15 @@ from pyspark.sql.types import StructType
 from postlens.operators.dedup import dedup_append
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """A Parquet table, or an empty frame with ``schema`` when nothing has been written yet."""
+def read_or_empty(spark: SparkSession, path: str, schema: StructType | str | None, empty: StructType | str | None = None) -> DataFrame:
+    """A Parquet table, or an empty frame with ``schema`` when nothing has been written yet. With ``schema`` None the
+    stored schema is read, and ``empty`` is the one of the empty frame. Any other error is raised."""
     try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], schema if schema is not None else empty)
 
 
 def key_bucket(key: str, buckets: int) -> Column:
@@ -51,11 +54,13 @@ def append_new(spark: SparkSession, path: str, batch: DataFrame, key: str, order
 
 
 def replace_by_key(target: DataFrame, new: DataFrame, key: str, method: str | None = None,
-                   method_col: str = "method") -> DataFrame:
-    """K2: drop the target rows of every key present in ``new`` (only rows of ``method`` when given), add ``new``.
+                   method_col: str = "method", processed: DataFrame | None = None) -> DataFrame:
+    """K2: drop the target rows of every processed key (only rows of ``method`` when given), add ``new``.
 
-    One scan of the target: a left join against the distinct new keys flags the rows to drop."""
-    keys = new.select(key).distinct().withColumn("_hit", F.lit(True))
+    ``processed`` holds the keys that were worked on; a key that yielded nothing loses its old rows too. Without it the
+    keys of ``new`` count as the processed ones. One scan of the target: a left join flags the rows to drop."""
+    keys = new.select(key) if processed is None else processed.select(key).unionByName(new.select(key))
+    keys = keys.distinct().withColumn("_hit", F.lit(True))
     t = target.join(keys, key, "left")
     drop = F.col("_hit").isNotNull()
     if method is not None:
@@ -65,16 +70,27 @@ def replace_by_key(target: DataFrame, new: DataFrame, key: str, method: str | No
 
 
 def replace_by_key_table(spark: SparkSession, path: str, new: DataFrame, key: str, method: str | None = None,
-                         buckets: int = 64, method_col: str = "method") -> None:
-    """K2 on a stored table bucketed by ``pmod(xxhash64(key), buckets)``: only buckets touched by ``new`` are
-    rewritten (dynamic partition overwrite); the rewrite is checkpointed first because it reads those buckets."""
+                         buckets: int = 64, method_col: str = "method", processed: DataFrame | None = None) -> None:
+    """K2 on a stored table bucketed by ``pmod(xxhash64(key), buckets)``: only buckets with processed keys are rewritten
+    (dynamic partition overwrite; a bucket left without rows is removed). The rewrite is checkpointed first because it
+    reads those buckets. The stored columns must be those of ``new``; anything else raises."""
     new_b = new.withColumn("bucket", key_bucket(key, buckets))
-    target = read_or_empty(spark, path, new_b.schema)
-    touched = new_b.select("bucket").distinct()
+    target = read_or_empty(spark, path, None, new_b.schema)
+    if set(target.columns) != set(new_b.columns):
+        raise ValueError(f"the table has columns {sorted(target.columns)}, the new rows {sorted(new_b.columns)}")
+    keys = new.select(key) if processed is None else processed.select(key).unionByName(new.select(key))
+    touched = keys.select(key_bucket(key, buckets).alias("bucket")).distinct()
     affected = target.join(touched, "bucket", "left_semi")
-    rewritten = replace_by_key(affected, new_b, key, method, method_col).checkpoint(eager=True)
+    rewritten = replace_by_key(affected, new_b, key, method, method_col, processed).checkpoint(eager=True)
     (rewritten.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("bucket").parquet(path))
+    empty = touched.join(rewritten.select("bucket").distinct(), "bucket", "left_anti").collect()  # at most ``buckets`` integers
+    if empty:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        folders = [hadoop.Path(f"{path}/bucket={r[0]}") for r in empty]
+        fs = folders[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for folder in folders:
+            fs.delete(folder, True)
 
 
 def fill_if_missing(df: DataFrame, col: str, expr: Column) -> DataFrame:

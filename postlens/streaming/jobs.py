@@ -62,10 +62,15 @@ def stream_project(stream: DataFrame, fn: Callable[[DataFrame], DataFrame], path
 
 def stream_alert(stream: DataFrame, match: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
                  n: int = 8, ts: str = "ingested_at", key: str = "job_id") -> None:
-    """Each new matching row is alerted exactly once: one digest per micro-batch, appended to ``path``."""
+    """One digest per micro-batch, in a folder of the batch's own under ``path``; a batch that is replayed after a
+    crash overwrites its folder, so each matching row is alerted once."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        digest(batch, n, ts, key).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
+        batch = batch.persist()  # counted and sorted: two passes
+        try:
+            digest(batch, n, ts, key).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     _run(match(stream).writeStream.foreachBatch(per_batch), checkpoint)
 

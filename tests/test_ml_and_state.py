@@ -4,6 +4,7 @@ stream drain == batch)."""
 import uuid
 
 import numpy as np
+import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -99,6 +100,49 @@ def test_replace_by_key_table_rewrites_touched_buckets(spark):
     assert [r.skill for r in t.where("job_id = 3").collect()] == ["new"]
 
 
+def test_replace_by_key_with_processed_keys(spark):
+    cols = "job_id long, skill string, method string"
+    path = scratch_path(spark, f"t-k2p-{uuid.uuid4().hex}")
+    K.replace_by_key_table(spark, path, spark.createDataFrame([(1, "A", "rules"), (2, "B", "rules"), (3, "C", "rules")], cols), "job_id", "rules", buckets=64)
+    new, done = spark.createDataFrame([(1, "Z", "rules")], cols), spark.createDataFrame([(1,), (2,)], "job_id long")
+    K.replace_by_key_table(spark, path, new, "job_id", "rules", buckets=64, processed=done)
+    assert sorted(r[:2] for r in spark.read.parquet(path).select("job_id", "skill").collect()) == [(1, "Z"), (3, "C")]
+    with pytest.raises(ValueError):
+        K.replace_by_key_table(spark, path, new.drop("skill"), "job_id", "rules", buckets=64)
+
+
+def test_alert_replay_writes_one_digest(spark, monkeypatch):
+    from postlens.streaming import jobs as R
+
+    seen = {}
+    monkeypatch.setattr(R, "_run", lambda writer, checkpoint: None)
+
+    class Writer:
+        def foreachBatch(self, fn):
+            seen["fn"] = fn
+
+    class Stream:
+        writeStream = Writer()
+
+    path = scratch_path(spark, f"t-r4-{uuid.uuid4().hex}")
+    R.stream_alert(Stream(), lambda d: d, path, "")
+    rows = [(1, "t", "c", "l", True, 1.0, 2.0, "2024-01-01", "u")]
+    batch = spark.createDataFrame(rows, "job_id long, title string, company string, location string, remote boolean, salary_min double, salary_max double, ingested_at string, url string")
+    for _ in range(2):
+        seen["fn"](batch, 0)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_exact_median_hot_group_and_two_heavy_values(spark):
+    from statistics import median
+
+    from postlens.operators.median import exact_median
+
+    data = [("half", float(i % 2)) for i in range(2000)] + [("hot", float((i * 7919) % 30011)) for i in range(30000)] + [("one", 5.0), ("none", None), (None, 1.0), (None, 4.0)]
+    got = {r.g: r.median for r in exact_median(spark.createDataFrame(data, "g string, v double"), ["g"], "v").collect()}
+    assert got == {g: median(v for k, v in data if k == g) for g in ("half", "hot", "one", None)}
+
+
 def test_first_per_key_independent_of_partitions(spark, sf):
     li = spark.read.parquet(f"{sf}/lineitem.parquet")
     a = first_per_key(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"])
@@ -120,7 +164,7 @@ def test_exact_median_hot_group_matches_builtin(spark):
     df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 7).alias("g"),
                                    (F.rand(3) * 1000).alias("x"))
     df = df.unionByName(spark.range(700).select(F.lit(9).cast("long").alias("g"), F.lit(5.0).alias("x")))
-    got = {r.g: r.median for r in exact_median(df, ["g"], "x", threshold=300, quantiles=50).collect()}
+    got = {r.g: r.median for r in exact_median(df, ["g"], "x").collect()}
     want = {r.g: r.m for r in df.groupBy("g").agg(F.median("x").alias("m")).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
