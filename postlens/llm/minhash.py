@@ -9,7 +9,8 @@ Banding: sets that agree on all ROWS coordinates of a band meet in a bucket; at
 bands with probability 5e-6. Equal sets are one node from the start, so copies cost nothing.
 
 Verification counts shared shingles of the full sets. First each node is checked against one node: the smallest of its
-buckets' smallest that it meets most often. Where a bucket still holds more than one component, its nodes outside the
+buckets' smallest that it meets most often; then each node outside the largest component of a bucket against one node of
+that component. Both take one pair a node. Where a bucket still holds more than one component, its nodes outside the
 largest one are compared with all others, in blocks dealt to many tasks, each pair in the first bucket that both share:
 first by sketch, which leaves out pairs that can't be similar enough, then, for nodes that are left, by full sets, most
 alike pairs first, as long as the two are not connected yet. No pairs are emitted, only the links that connect.
@@ -152,6 +153,18 @@ def _least(per_cent: int) -> int:
     return math.floor(SIZE * share - DEVIATIONS * math.sqrt(SIZE * share * (1 - share)))
 
 
+def _second_hubs(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (u, v): each node v outside its bucket's largest component with the node u that stands for that component in
+    most of v's buckets, the component's node with the smallest hash in the bucket."""
+    rows = met.select("bucket", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    sizes = rows.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node"), "node")).alias("hub"))
+    mixed = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label", "hub.node")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
+    votes = rows.join(mixed, "bucket").where(F.col("label") != F.col("top.label")).groupBy(
+        F.col("node").alias("v"), F.col("top.node").alias("u")).agg(F.count("*").alias("n"))
+    best = votes.withColumn("k", F.row_number().over(Window.partitionBy("v").orderBy(F.desc("n"), "u")))
+    return best.where("k = 1").select("u", "v")
+
+
 _BLOCK_COLUMNS = "bucket long, i long, j long, asks boolean, node long, label long"
 
 
@@ -258,6 +271,9 @@ def minhash_groups(spark: SparkSession, docs: DataFrame, size: int = 2, per_cent
 
     links = _verified(spark, pairs, texts, size, per_cent)
     labels = components(spark, links)
+    again = _second_hubs(met, labels).join(pairs, ["u", "v"], "left_anti")
+    links = links.unionByName(_verified(spark, kept_table(spark, again, "pairs"), texts, size, per_cent))
+    labels = components(spark, links)
     more = _links_across(spark, met.select("bucket", "node"), labels, nodes, texts, size, per_cent)
     if more.limit(1).count():
         labels = components(spark, links.unionByName(more))
