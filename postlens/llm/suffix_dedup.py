@@ -255,7 +255,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, threshold: int = 100) ->
                        ["__d", "__tie"], "left").select(*names, "__text", "__spans")
     schema = docs.select(*names).limit(0).withColumns({
         "n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long"),
-        "kept_sha256": F.lit(""), "kept_text": F.lit("")}).schema
+        "kept_sha256": F.lit(""), "kept_text": F.lit(None).cast("string")}).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
