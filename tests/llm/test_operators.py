@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from postlens.llm import bpe, chat_format, decontaminate, embedding_dedup, minhash, resampling, sharding, suffix_dedup, toxicity, url_filter
@@ -208,6 +209,20 @@ def test_embeddings(spark):
     assert embedding_dedup.embedding_groups(spark, df.where("vec_id < 0")).count() == 0
 
 
+def test_embeddings_large_group(spark):
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal(64)
+    group = centre / np.linalg.norm(centre) + rng.standard_normal((3000, 64)) * math.sqrt((1 / 0.982 - 1) / 64)
+    x = np.concatenate([group, rng.standard_normal((6000, 64))])
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(x.tolist()), "label": np.ones(len(x), np.int32)}))
+    got = embedding_dedup.embedding_groups(spark, df).toPandas().set_index("vec_id")
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = np.concatenate([(x[i : i + 1000] @ x.T >= 0.98).sum(axis=1) - 1 for i in range(0, len(x), 1000)])
+    assert want[:3000].min() > 0 and not want[3000:].any()
+    assert int(np.abs(got.n_links.sort_index().to_numpy() - want).sum()) == 0
+    assert got.component_id[got.index < 3000].eq(0).all() and got.kept.sum() == 6001
+
+
 # 7 -------------------------------------------------------------------------------------------------------------------
 def plain_removal(rows, size=100):
     """By (doc_id, CRC-32, text): bytes, removed bytes, spans, digest of the rest."""
