@@ -222,6 +222,16 @@ def _remove(threshold: int, columns: list[str], schema: pa.Schema):
     return run
 
 
+def _once(spark: SparkSession, work: DataFrame) -> DataFrame:
+    """``work`` (d, tie, text) with rows of equal d and text once; only repeated rows are shuffled with their texts."""
+    again = work.where("tie IS NOT NULL").groupBy("d", "tie").agg(F.count("*").alias("n")).where("n > 1").select("d", "tie")
+    again = kept_table(spark, again, "repeated")
+    if again.limit(1).count() == 0:
+        return work
+    some = kept_table(spark, work.join(again, ["d", "tie"], "left_semi").distinct(), "once")
+    return work.join(again, ["d", "tie"], "left_anti").unionByName(some)
+
+
 def suffix_dedup(spark: SparkSession, docs: DataFrame, threshold: int = 100) -> DataFrame:
     """``docs`` (doc_id, text, more columns) with n_bytes, n_removed, n_spans, kept_sha256 and kept_text.
 
@@ -237,14 +247,15 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, threshold: int = 100) ->
         raise ValueError("threshold must be from 64 to 127 bytes")
     own = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
     names = [c for c in docs.columns if c not in own]
-    work = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"), "text")
-    rows = work.mapInArrow(_round(threshold, 1), _ROWS_DDL)
+    work = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"),
+                       F.crc32(F.col("text").cast("binary")).alias("tie"), "text")
+    work = _once(spark, work)
+    rows = work.select("d", "text").mapInArrow(_round(threshold, 1), _ROWS_DDL)
     runs = kept_table(spark, _rerank(rows, 1), "runs")
     decided = [runs.where(F.col("kind") == DECIDED)]
-    tied = work.withColumn("tie", F.crc32(F.col("text").cast("binary")))
     left = runs
     for level in (2, 3):
-        rows = tied.join(_by_document(left.where(F.col("kind") == ONWARD)), ["d", "tie"]).select("d", "text", "spans")
+        rows = work.join(_by_document(left.where(F.col("kind") == ONWARD)), ["d", "tie"]).select("d", "text", "spans")
         ranked = _rerank(rows.mapInArrow(_round(threshold, level), _ROWS_DDL), level)
         left = kept_table(spark, ranked, "spans")
         decided.append(left.where(F.col("kind") == DECIDED))

@@ -254,6 +254,17 @@ def test_suffix_dedup(spark, docs, rows):
     assert got == plain_removal(rows + more)
 
 
+def test_suffix_dedup_repeated_rows(spark):
+    rng = random.Random(10)
+    first, other = ("".join(rng.choice("abcde fgh") for _ in range(400)) for _ in range(2))
+    rows = [(1, first), (1, first), (1, other), (2, "x" + first[50:300] + other[:150]), (None, other[200:]), (None, other[200:]),
+            (3, "short"), (3, "short"), (4, None), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 5):
+        got = pairs_of(suffix_dedup.suffix_dedup(spark, df.repartition(parts)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        assert got == plain_removal(rows)
+
+
 def test_suffix_dedup_text_and_empty(spark, empty):
     text = "".join(chr(0xC0 + i % 40) for i in range(200))
     df = spark.createDataFrame([(1, text), (2, "x" + text), (3, None)], "doc_id int, text string")
