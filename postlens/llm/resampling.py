@@ -7,8 +7,8 @@ largest log weight plus Gumbel noise are kept, which samples k documents without
 weights. The noise comes from a hash of the row, so a lost task draws the same again.
 
 The k-th largest key is found by counting: each pass counts the keys in ``CELLS`` cells of the range still open, and only
-these counts reach the driver. Target documents are at most ``TRAINING`` labelled rows (smallest hashes); the raw model
-counts every document. Broadcast are the labels' ids and one number for each bucket.
+these counts reach the driver. Both models count every document, the target model all that are labelled 1; counts are
+summed by bucket inside the tasks. Broadcast is one number for each bucket, and the good ids if the planner finds them small.
 """
 
 from __future__ import annotations
@@ -20,9 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm.common import ALNUM_MARKS, U64, Powers, batches_of, kept_table, labelled_sample, mix, text_chunks, word_hashes
+from postlens.llm.common import ALNUM_MARKS, U64, Powers, batches_of, kept_table, mix, text_chunks, word_hashes
 
-TRAINING = 100_000
 BITS = 16
 BUCKETS = 1 << BITS
 CELLS = 4096
@@ -100,8 +99,7 @@ def _gumbel(*seed: Column) -> Column:
     return -F.log(-F.log(u))
 
 
-def importance_resample(spark: SparkSession, docs: DataFrame, labels: DataFrame, share: float | None = None,
-                        training: int = TRAINING) -> DataFrame:
+def importance_resample(spark: SparkSession, docs: DataFrame, labels: DataFrame, share: float | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, tie, n_grams, log_weight, key (log weight plus noise), kept.
 
     ``labels`` (doc_id, quality): the target are the documents labelled 1. ``share`` of all rows is kept (rounded up);
@@ -109,13 +107,14 @@ def importance_resample(spark: SparkSession, docs: DataFrame, labels: DataFrame,
     and labels without id don't count; without any label everything is kept at weight 0. A null or empty text has no
     n-grams and weight 0. Rows of equal doc_id and text get equal weights and equal noise, and are kept or left out
     together, so then some more rows than asked may be kept. Other columns are ignored."""
-    known = kept_table(spark, labelled_sample(labels.where(F.col("quality").isin(0, 1)), "quality", training), "quality")
+    known = labels.where(F.col("quality").isin(0, 1)).select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("label"))
+    known = kept_table(spark, known.dropna().groupBy("id").agg(F.max("label").alias("label")), "quality")
     good, n = known.agg(F.sum("label"), F.count("*")).first()
     if share is None:
         share = good / n if n else 1.0
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("tie"), "text")
-    marked = base.join(F.broadcast(known.where("label = 1")), base.doc_id == known.id, "left").select(
+    marked = base.join(known.where("label = 1"), base.doc_id == known.id, "left").select(
         F.col("label").isNotNull().alias("good"), "text")
     counts = marked.mapInArrow(_count, "bucket int, raw long, target long").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()

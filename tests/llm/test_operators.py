@@ -332,6 +332,20 @@ def test_importance_resample(spark, docs, rows, empty):
     assert all(r.kept and r.log_weight == 0 for r in resampling.importance_resample(spark, docs, labels.where("doc_id < 0")).collect())
 
 
+def test_importance_resample_counts_all_labels(spark):
+    hashed = spark.range(120_000).selectExpr("id AS doc_id", "xxhash64(id) AS h")
+    labels = hashed.selectExpr("doc_id", "CAST(h > 0 AS INT) AS quality")
+    ids = [r.doc_id for r in hashed.orderBy("h").collect()]
+    good, spam = ids[-100:], ids[:100]
+    df = spark.createDataFrame([(i, f"good plain words about things {i}") for i in good] + [(i, f"spam $$$ ### spam !!! {i}") for i in spam]
+                               + [(-1 - i, None) for i in range(9800)], "doc_id long, text string")
+    share = labels.where("quality = 1").count() / 120_000
+    got = resampling.importance_resample(spark, df, labels).collect()
+    assert sum(r.kept for r in got) == math.ceil(share * 10_000)
+    half = resampling.importance_resample(spark, df.where("doc_id >= 0"), labels, share=0.5).collect()
+    assert len({r.doc_id for r in half if r.kept} & set(good)) >= 97
+
+
 def test_kth_largest(spark):
     rng = random.Random(1)
     values = [rng.choice([1e300, -5.0, 0.1, 0.1 + 1e-17, 0.30000000000000004, 0.3, rng.random()]) for _ in range(500)]
