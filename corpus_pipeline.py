@@ -38,11 +38,12 @@ def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked at similarity 0.8 over 5-word shingles the one of the smallest doc_id stays.
-    Texts without words are never duplicates, but of rows of equal doc_id and text one stays."""
+    """Of each group of documents linked at similarity 0.8 over 5-word shingles the one of the smallest doc_id stays
+    (of several, or if all are null, that of the smallest CRC-32). Texts without words are never duplicates, but of rows of
+    equal doc_id and text one stays."""
     judged = kept_table(spark, minhash_groups(spark, docs, size=5, per_cent=80), "judged")
-    left = _without(docs, judged.where("NOT kept"))
-    repeated = judged.where("kept").groupBy("doc_id", "tie").agg(F.count("*").alias("n")).where("n > 1")
+    left = _without(docs, judged.where("NOT first"))
+    repeated = judged.where("first").groupBy("doc_id", "tie").agg(F.count("*").alias("n")).where("n > 1")
     if repeated.limit(1).count() == 0:
         return left
     again = repeated.select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"))

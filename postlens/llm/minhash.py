@@ -238,11 +238,12 @@ def _links_across(spark: SparkSession, met: DataFrame, labels: DataFrame, nodes:
 
 
 def minhash_groups(spark: SparkSession, docs: DataFrame, size: int = 2, per_cent: int = 80) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, tie (CRC-32 of the text), n_shingles, component_id, kept.
+    """One row per row of ``docs`` (doc_id, text): doc_id, tie (CRC-32 of the text), n_shingles, component_id, kept, first.
 
     Words are the runs between ASCII white space, A-Z lower-cased; a text's set holds its distinct runs of ``size``
     words (all its words, if fewer). Texts are linked if 100 * intersection >= ``per_cent`` * union; component_id is the
-    smallest doc_id reachable, kept tells whether it is the row's own.
+    smallest doc_id reachable, kept tells whether it is the row's own. first tells whether the row has the smallest
+    (doc_id, tie) reachable, so of each group one document is first, also where doc_ids are repeated or all null.
 
     A null or empty text, or one of white space only, has an empty set and is linked with nothing. Equal sets are
     linked. Rows of equal doc_id are rows of their own. A null doc_id is larger than any other: its row is kept only if
@@ -278,9 +279,10 @@ def minhash_groups(spark: SparkSession, docs: DataFrame, size: int = 2, per_cent
     if more.limit(1).count():
         labels = components(spark, links.unionByName(more))
 
-    named = nodes.select("node", "low").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    lows = named.groupBy("label").agg(F.min("low").alias("component_id"))
-    found = named.join(lows, "label").select("node", "component_id")
+    named = nodes.select("node", "low", "at").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    lows = named.groupBy("label").agg(F.min("low").alias("component_id"), F.min("at").alias("least"))
+    found = named.join(lows, "label").select("node", "component_id", "least")
     out = rows.select("doc_id", "tie", "n_shingles", "node").join(found, "node", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "tie", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+    first = (F.col("n_shingles") == 0) | (F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("tie") == F.col("least.tie")))
+    return out.select("doc_id", "tie", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), first.alias("first"))

@@ -67,7 +67,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op1_minhash_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    return minhash_groups(spark, docs, size=2, per_cent=80).drop("tie")
+    return minhash_groups(spark, docs, size=2, per_cent=80).drop("tie", "first")
 
 
 @_query("op2_byte_bpe")

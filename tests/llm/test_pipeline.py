@@ -2,6 +2,7 @@
 
 import base64
 import random
+import zlib
 
 import public_tokenizers
 import tiktoken
@@ -62,6 +63,17 @@ def test_pipeline_without_labels(spark, docs, rows, tmp_path):
     assert all(r.n_tokens == len(r.ids) // 4 for r in got)
 
 
+def test_one_of_each_group_stays(spark):
+    rng = random.Random(13)
+    one, two, three = (" ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(60)) for _ in range(3))
+    groups = [[(7, one + " x"), (7, one + " y"), (7, one + " y"), (8, one)], [(None, two + " x"), (None, two + " y"), (None, two + " y")],
+              [(None, three), (7, three + " x")], [(9, None)], [(9, "")], [(None, None), (None, None)]]
+    docs = spark.createDataFrame([r for g in groups for r in g], "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+    want = [min(g, key=lambda r: (r[0] is None, r[0] or 0, zlib.crc32((r[1] or "").encode()))) for g in groups]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_toxic_documents_go(spark, tmp_path):
     rng = random.Random(6)
     words = ["w" + "".join(rng.choice("abcdef") for _ in range(3)) for _ in range(300)]
