@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.llm.bpe import bpe_decode, bpe_encode, load_vocabulary
+from postlens.llm.centroid_clustering import centroid_clusters
 from postlens.llm.chat_format import chat_messages
 from postlens.llm.decontaminate import contaminated
 from postlens.llm.embedding_dedup import embedding_groups
@@ -168,3 +169,32 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op4_quotation_linking")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_messages(spark, _read(spark, sf_dir, "conversations"))
+
+
+def _op11_sql(k: int = 40, rounds: int = 5) -> str:
+    """The rounds one after another: assignment by full distances, then the exact mean rounded down."""
+    start = f"""
+WITH e AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT) AS v
+      FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1)::INT AS c, v
+      FROM e ORDER BY sha256('2:' || vec_id), v LIMIT {k})"""
+    parts = [start]
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+      SELECT e.r, q.c, list_sum(list_transform(list_zip(e.v, q.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+      FROM e CROSS JOIN c{i} q) GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""
+c{i + 1} AS MATERIALIZED (SELECT o.c, coalesce(n.v, o.v) AS v FROM c{i} o LEFT JOIN (
+      SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS v FROM (
+        SELECT a.c, j, sum(v[j])::BIGINT AS s, count(*) AS n FROM e JOIN a{i} a USING (r), range(1, 65) t(j) GROUP BY a.c, j) GROUP BY c) n USING (c))""")
+    return ",".join(parts) + f"""
+SELECT e.vec_id, a.c AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+  (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(q.v, ',')) AS centroid_sha256
+FROM e JOIN a{rounds} a USING (r) JOIN c{rounds} q ON q.c = a.c"""
+
+
+@_query("op11_centroid_clusters", _op11_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(spark, _read(spark, sf_dir, "embeddings")).drop("centroid")
