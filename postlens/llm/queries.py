@@ -14,6 +14,7 @@ from postlens.llm.chat_format import chat_messages
 from postlens.llm.decontaminate import contaminated
 from postlens.llm.embedding_dedup import embedding_groups
 from postlens.llm.minhash import minhash_groups
+from postlens.llm.periodic_runs import periodic_runs, planted
 from postlens.llm.resampling import importance_resample
 from postlens.llm.sharding import balanced, grown, hash_tree_shards
 from postlens.llm.suffix_dedup import suffix_dedup
@@ -198,3 +199,9 @@ FROM e JOIN a{rounds} a USING (r) JOIN c{rounds} q ON q.c = a.c"""
 @_query("op11_centroid_clusters", _op11_sql())
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters(spark, _read(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+@_query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    described, _ = periodic_runs(spark, _read(spark, sf_dir, "documents").select("doc_id", "text"), 24, planted)
+    return described.drop("key")
