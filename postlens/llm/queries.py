@@ -13,6 +13,7 @@ from postlens.llm.centroid_clustering import centroid_clusters
 from postlens.llm.chat_format import chat_messages
 from postlens.llm.decontaminate import contaminated
 from postlens.llm.embedding_dedup import embedding_groups
+from postlens.llm.fingerprints import document_fingerprints
 from postlens.llm.minhash import minhash_groups
 from postlens.llm.periodic_runs import periodic_runs, planted
 from postlens.llm.resampling import importance_resample
@@ -205,3 +206,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     described, _ = periodic_runs(spark, _read(spark, sf_dir, "documents").select("doc_id", "text"), 24, planted)
     return described.drop("key")
+
+
+@_query("op13_fingerprints")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(spark, _read(spark, sf_dir, "documents").select("doc_id", "text"))

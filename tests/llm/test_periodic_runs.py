@@ -23,8 +23,7 @@ def plain_runs(words, shortest=24):
             while j + q < n and words[j] == words[j + q]:
                 j += 1
             block = words[i:i + q]
-            least = all(block != block[d:] + block[:d] for d in range(1, q) if q % d == 0)
-            if j - i + q >= max(shortest, 3 * q) and least:
+            if j - i + q >= max(shortest, 3 * q) and all(block != block[d:] + block[:d] for d in range(1, q) if q % d == 0):
                 out.append((i, j - i + q, q))
             i = j
     return sorted(out, key=lambda r: (r[0], r[2]))
@@ -86,7 +85,7 @@ def test_repetitive_texts(spark, alter):
 def test_fragments_of_tiles_are_stitched(spark, monkeypatch, tile):
     monkeypatch.setattr(op, "TILE", tile)
     monkeypatch.setattr(op, "LONG_TEXT", 200)
-    rows = texts(6, 40, 2500) + [(100, "a " * 3000), (101, "a b " * 1500), (102, "c " + "a b " * 777 + "a a"), (103, None), (104, "")]
+    rows = texts(6, 30, 1500) + [(100, "a " * 3000), (101, "a b " * 1500), (102, "c " + "a b " * 777 + "a a"), (103, None), (104, "")]
     rows += [(105, " ".join(str(i % 611) for i in range(2500))), (106, " ".join(str(i % 611) for i in range(2500))), (7, rows[7][1])]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert described(spark, df) == sorted((plain(i, t) for i, t in rows), key=str)
