@@ -27,14 +27,14 @@ from postlens.llm.common import U64, Powers, batches_of, kept_table, mix
 
 LEVEL = 3
 SLOTS = 64
-_DIGITS = 10
+_BYTES = 5
 #: Bytes of text that are parsed at once; a longer text is parsed alone.
 CHUNK = 1 << 20
 
-_JUDGED = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
-                     ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
+_JUDGED = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.binary()),
+                     ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
                      ("part", pa.int32()), ("kind", pa.string()), ("text", pa.string())])
-_JUDGED_DDL = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
+_JUDGED_DDL = ("doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, "
                "near_next double, part int, kind string, text string")
 
 
@@ -92,23 +92,24 @@ def phrase_names(data: np.ndarray, offsets: np.ndarray, powers: Powers, level: i
     return (np.concatenate(names), np.concatenate(owners)) if names else (np.zeros(0, U64), np.zeros(0, np.int64))
 
 
-def fingerprints(texts: list[bytes], powers: Powers) -> list[str]:
-    """The texts' fingerprints; that of an empty text is empty."""
+def fingerprints(texts: list[bytes], powers: Powers) -> list[bytes]:
+    """The texts' fingerprints, five bytes a hash; that of an empty text is empty."""
     offsets = np.cumsum([0, *map(len, texts)])
     names, owner = phrase_names(np.frombuffer(b"".join(texts), np.uint8), offsets, powers)
-    value = mix(names) >> U64(64 - 4 * _DIGITS)
+    value = mix(names) >> U64(64 - 8 * _BYTES)
     order = np.lexsort((value, owner))
     value, owner = value[order], owner[order]
     new = np.ones(len(value), bool)
     new[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
     value, owner = value[new], owner[new]
     at = np.searchsorted(owner, np.arange(len(texts) + 1))
-    return ["".join(f"{v:0{_DIGITS}x}" for v in value[a:min(b, a + SLOTS)]) for a, b in zip(at, at[1:])]
+    raw = value.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - _BYTES:]
+    return [raw[a:min(b, a + SLOTS)].tobytes() for a, b in zip(at, at[1:])]
 
 
-def likeness(one: str, other: str) -> float:
+def likeness(one: bytes, other: bytes) -> float:
     """Estimated likeness of two fingerprints, 0 to 1; two empty ones are alike, an empty one is like no other."""
-    a, b = ({f[i:i + _DIGITS] for i in range(0, len(f), _DIGITS)} for f in (one, other))
+    a, b = ({f[i:i + _BYTES] for i in range(0, len(f), _BYTES)} for f in (one, other))
     least = sorted(a | b)[:SLOTS]
     if not least:
         return 1.0
@@ -197,4 +198,5 @@ def document_fingerprints(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ring = parts.select("part", F.coalesce(F.lead("part").over(in_order), F.first("part").over(in_order)).alias("next"))
     lasts = judged.where("kind = 'last'").select("doc_id", "text", "part").join(ring.hint("merge"), "part")
     closing = lasts.join(firsts.hint("merge"), "next").select("doc_id", "text", "following").mapInArrow(_judge_pairs, _JUDGED_DDL)
-    return judged.where("kind = 'row'").unionByName(closing).drop("part", "kind", "text")
+    out = judged.where("kind = 'row'").unionByName(closing).drop("part", "kind", "text")
+    return out.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})

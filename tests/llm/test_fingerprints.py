@@ -93,7 +93,7 @@ def test_likeness_estimates_share_of_names():
         true = 2 * len(x & y) / (len(x) + len(y))
         got = op.likeness(*op.fingerprints([a.encode(), mixed.encode()], Powers()))
         assert abs(got - true) < 0.2 and abs(true - part) < 0.1
-    assert op.likeness("", "") == 1.0 and op.likeness("", op.fingerprints([b"a"], Powers())[0]) == 0.0
+    assert op.likeness(b"", b"") == 1.0 and op.likeness(b"", op.fingerprints([b"a"], Powers())[0]) == 0.0
 
 
 def plain_rows(rows):
@@ -105,7 +105,7 @@ def plain_rows(rows):
         half = len(t) // 2
         e = t[:len(t) - half] + u[:half]
         f, g, h = op.fingerprints([t.encode(), e.encode(), u.encode()], Powers())
-        out.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), f, g, op.likeness(f, g), op.likeness(f, h)))
+        out.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), f.hex(), g.hex(), op.likeness(f, g), op.likeness(f, h)))
     return sorted(out)
 
 
@@ -132,7 +132,7 @@ def test_repeats_nulls_and_empty(spark, docs, rows, empty):
     assert len(got) == len(rows) and judged(spark, empty) == []
     assert sorted((r[0] is None, r[0] or 0, r[1]) for r in got) == sorted((i is None, i or 0, len(t or "")) for i, t in rows)
     of = dict(zip([t for _, t in rows], op.fingerprints([(t or "").encode() for _, t in rows], Powers())))
-    assert sorted(r[3] for r in got) == sorted(of[t] for _, t in rows)
+    assert sorted(r[3] for r in got) == sorted(of[t].hex() for _, t in rows)
     assert all(0 <= x <= 1 for r in got for x in r[5:])
     many = spark.createDataFrame([(1, "same text of one id")] * 500, "doc_id long, text string").repartition(5)
     assert {r[6] for r in judged(spark, many)} == {1.0}
