@@ -6,9 +6,12 @@ document's log weight is the sum over its n-grams of log(target probability / ra
 largest log weight plus Gumbel noise are kept, which samples k documents without replacement in proportion to the
 weights. The noise comes from a hash of the row, so a lost task draws the same again.
 
+The raw model counts every document in a pass of its own. The target model counts the documents labelled 1, by default up to
+about ``TARGETS`` of them, those of the smallest hashes: their ids are small enough to be broadcast to the scan, so no text
+is shuffled and the plan is one and the same at every size. Counts are summed by bucket inside the tasks.
+
 The k-th largest key is found by counting: each pass counts the keys in ``CELLS`` cells of the range still open, and only
-these counts reach the driver. Both models count every document, the target model all that are labelled 1; counts are
-summed by bucket inside the tasks. Broadcast is one number for each bucket, and the good ids if the planner finds them small.
+these counts reach the driver. Broadcast are one number for each bucket and the target ids.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from postlens.llm.common import ALNUM_MARKS, U64, Powers, batches_of, kept_table
 BITS = 16
 BUCKETS = 1 << BITS
 CELLS = 4096
+#: Labelled good documents that the target model is fitted on, at most (about 10 MB of ids).
+TARGETS = 500_000
 
 
 def _buckets(data: np.ndarray, offsets: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
@@ -38,15 +43,31 @@ def _buckets(data: np.ndarray, offsets: np.ndarray, powers: Powers) -> tuple[np.
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("bucket", pa.int32()), ("raw", pa.int64()), ("target", pa.int64())])
-    powers, raw, target = Powers(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
+    powers, n = Powers(), np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        for good, data, offsets in text_chunks(batch.column("good").to_pylist(), batch.column("text")):
-            grams, owner = _buckets(data, offsets, powers)
-            raw += np.bincount(grams, minlength=BUCKETS)
-            target += np.bincount(grams[np.array(good, bool)[owner]], minlength=BUCKETS)
-    some = np.flatnonzero(raw)
-    yield from batches_of({"bucket": some, "raw": raw[some], "target": target[some]}, schema)
+        for _, data, offsets in text_chunks([None] * batch.num_rows, batch.column("text")):
+            grams, _ = _buckets(data, offsets, powers)
+            n += np.bincount(grams, minlength=BUCKETS)
+    some = np.flatnonzero(n)
+    yield from batches_of({"bucket": some, "n": n[some]}, schema)
+
+
+def n_gram_counts(texts: DataFrame) -> np.ndarray:
+    """How many n-grams of all ``texts`` (text) fall into each bucket."""
+    counts = texts.mapInArrow(_count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(BUCKETS, np.int64)
+    out[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
+    return out
+
+
+def target_ids(known: DataFrame, good: int, most: int) -> DataFrame:
+    """The ids labelled 1 in ``known`` (id, label), ``good`` in number; of more than ``most`` about that many, those whose hash
+    lies under a cut."""
+    ids = known.where("label = 1").select("id")
+    if good <= most:
+        return ids
+    return ids.where(F.shiftrightunsigned(F.xxhash64("id"), 1) < int((1 << 63) * (most / good)))
 
 
 def _weigh(model):
@@ -99,11 +120,12 @@ def _gumbel(*seed: Column) -> Column:
     return -F.log(-F.log(u))
 
 
-def importance_resample(spark: SparkSession, docs: DataFrame, labels: DataFrame, share: float | None = None) -> DataFrame:
+def importance_resample(spark: SparkSession, docs: DataFrame, labels: DataFrame, share: float | None = None,
+                        targets: int = TARGETS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, tie, n_grams, log_weight, key (log weight plus noise), kept.
 
     ``labels`` (doc_id, quality): the target are the documents labelled 1. ``share`` of all rows is kept (rounded up);
-    by default the share of 1 among the labels. Of equal keys at the limit those of smaller doc_id are kept. Null labels
+    by default the share of 1 among all labels. The target model is fitted on about ``targets`` of the good documents at most. Of equal keys at the limit those of smaller doc_id are kept. Null labels
     and labels without id don't count; without any label everything is kept at weight 0. A null or empty text has no
     n-grams and weight 0. Rows of equal doc_id and text get equal weights and equal noise, and are kept or left out
     together, so then some more rows than asked may be kept. Other columns are ignored."""
@@ -114,14 +136,9 @@ def importance_resample(spark: SparkSession, docs: DataFrame, labels: DataFrame,
         share = good / n if n else 1.0
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("tie"), "text")
-    marked = base.join(known.where("label = 1"), base.doc_id == known.id, "left").select(
-        F.col("label").isNotNull().alias("good"), "text")
-    counts = marked.mapInArrow(_count, "bucket int, raw long, target long").groupBy("bucket").agg(
-        F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
-    raw, target = np.ones(BUCKETS), np.ones(BUCKETS)
-    at = counts.column("bucket").to_numpy()
-    raw[at] += counts.column("raw").to_numpy()
-    target[at] += counts.column("target").to_numpy()
+    ids = F.broadcast(target_ids(known, good or 0, targets))  # at most about ``targets`` rows
+    raw = 1.0 + n_gram_counts(base.select("text"))
+    target = 1.0 + n_gram_counts(base.join(ids, base.doc_id == ids.id, "left_semi").select("text"))
     ratio = np.round((np.log(target / target.sum()) - np.log(raw / raw.sum())) * 2**20) if good else np.zeros(BUCKETS)
     model = spark.sparkContext.broadcast(ratio)
     weighed = base.mapInArrow(_weigh(model), "doc_id long, tie long, n_grams long, log_weight double")

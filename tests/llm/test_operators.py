@@ -346,6 +346,30 @@ def test_importance_resample_counts_all_labels(spark):
     assert len({r.doc_id for r in half if r.kept} & set(good)) >= 97
 
 
+@pytest.mark.parametrize("targets", [None, 30])
+def test_log_weights_equal_plain_models(spark, targets):
+    texts = [(i, f"good plain words, about things {i}" if i % 3 else f"spam $$$ ### Spam !!! {i}") for i in range(90)] + [(90, None), (91, "")]
+    quality = {i: int(i % 3 > 0) for i, _ in texts if i % 2} | {500: 1}
+    labels = spark.createDataFrame([(i, q) for i, q in quality.items()] + [(1, 0), (None, 1)], "doc_id long, quality int")
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    grams = {}
+    for i, t in texts:
+        raw = (t or "").encode()
+        grams[i] = resampling._buckets(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), resampling.Powers())[0].tolist()
+    known = spark.createDataFrame([(i, q) for i, q in quality.items()], "id long, label int")
+    n_good = sum(quality.values())
+    good = {r.id for r in resampling.target_ids(known, n_good, targets or n_good).collect()}
+    assert good == {i for i, q in quality.items() if q} if targets is None else 10 < len(good) < n_good
+    raw, target = Counter(range(resampling.BUCKETS)), Counter(range(resampling.BUCKETS))
+    for i in grams:
+        raw.update(grams[i])
+        target.update(grams[i] if i in good else [])
+    weight = {b: math.log(target[b] / target.total()) - math.log(raw[b] / raw.total()) for i in grams for b in grams[i]}
+    got = resampling.importance_resample(spark, df, labels, targets=targets or resampling.TARGETS).collect()
+    assert {r.doc_id: r.n_grams for r in got} == {i: len(g) for i, g in grams.items()}
+    assert all(abs(r.log_weight - sum(weight[b] for b in grams[r.doc_id])) < 1e-4 for r in got)
+
+
 def test_kth_largest(spark):
     rng = random.Random(1)
     values = [rng.choice([1e300, -5.0, 0.1, 0.1 + 1e-17, 0.30000000000000004, 0.3, rng.random()]) for _ in range(500)]
