@@ -6,12 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from postlens.operators.alerts import find_matches
 from postlens.operators.tagging import tag_terms
 from postlens.plans.catalog_sql import TAG_SQL
 from postlens.plans.fixtures import DOC_VOCAB, JK_SQL, jobs_fx
 from postlens.plans.registry import query
 from postlens.session import checkpoint_dir, scratch_path
+from postlens.sources import feeds as FD
 from postlens.sources.tables import table
 from postlens.streaming import jobs as R
 
@@ -83,3 +83,56 @@ def q_stream_daily(spark, sf):
     out, ck = _paths(spark, "stream_daily")
     R.stream_daily(_stream(spark, sf, "events"), "ts", out, ck)
     return R.growth_from_daily(spark.read.parquet(out))
+
+
+def _land(pages, folder: str, delivery: int) -> None:
+    """One delivery of payloads: JSON lines in several files below the feed's landing folder."""
+    pages.repartition(3).write.text(f"{folder}/delivery-{delivery}")
+
+
+def _event_pages(events, suffix: str, empty_every: int | None):
+    """Feed A payloads of up to 50 items."""
+    text = F.col("props") if empty_every is None else F.when(F.col("event_id") % empty_every == 0, F.lit("")).otherwise(F.col("props"))
+    item = F.struct(F.col("event_id").cast("string").alias("id"), F.concat("event_type", F.lit(suffix)).alias("title"),
+                    F.struct(F.col("user_id").cast("string").alias("display_name")).alias("company"),
+                    F.col("value").alias("salary_min"), text.alias("description"), F.col("ts").cast("string").alias("created"))
+    pages = events.groupBy(F.floor(F.col("event_id") / 50).alias("p")).agg(F.collect_list(item).alias("results"))
+    return pages.select(F.to_json(F.struct("results")))
+
+
+def _document_pages(docs, suffix: str):
+    """Feed C payloads, one item each; the texts' tags and outer white space go on the way."""
+    item = F.struct(F.col("doc_id").cast("string").alias("id"), F.concat("lang", F.lit(suffix)).alias("jobTitle"),
+                    F.col("source").alias("companyName"), F.col("lang").alias("jobGeo"), F.col("n_chars").cast("double").alias("annualSalaryMin"),
+                    F.concat(F.lit(" <p>"), "text", F.lit("</p> ")).alias("jobDescription"), F.lit("2024-02-03T08:00:00Z").alias("pubDate"))
+    return docs.select(F.to_json(F.struct(F.array(item).alias("jobs"))))
+
+
+@query("stream_feeds", """
+WITH a AS (SELECT event_id, user_id, value, props, CAST(ts AS DATE) AS day, event_type,
+                  event_id % 3 <> 0 AND event_id % 5 <> 0 AS early FROM events),
+c AS (SELECT *, doc_id % 4 = 1 AS early FROM documents WHERE lang IN ('en', 'es'))
+SELECT 'feed_a' AS source, 'feed_a:' || event_id AS source_id, event_type || CASE WHEN early THEN '-1' ELSE '-2' END AS title,
+       CAST(user_id AS VARCHAR) AS company, CAST(NULL AS VARCHAR) AS location, CAST(NULL AS BOOLEAN) AS remote, value AS salary_min,
+       props AS description, day AS posted_at FROM a
+UNION ALL
+SELECT 'feed_c', 'feed_c:' || doc_id, lang || CASE WHEN early THEN '-1' ELSE '-2' END, source, lang, true, CAST(n_chars AS DOUBLE),
+       regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '^\\s+|\\s+$', '', 'g'), DATE '2024-02-03' FROM c
+WHERE regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '^\\s+|\\s+$', '', 'g') <> ''""")
+def q_stream_feeds(spark, sf):
+    """Deliveries that repeat keys: the first lacks some and has empty descriptions, the second has all, the third, which comes in
+    a later run, none that is new. A micro-batch takes two files of a feed."""
+    out, ck = _paths(spark, "stream_feeds")
+    base = out.rsplit("/", 1)[0]
+    events, docs = table(spark, sf, "events"), table(spark, sf, "documents")
+    a, c = f"{base}/landed-a", f"{base}/landed-c"
+    landings = [(a, FD.feed_a()), (c, FD.feed_c(relevant=["-"], region=dict(words=["en", "es"], codes=[], marker=None))),
+                (f"{base}/landed-d", FD.feed_d())]
+    _land(_event_pages(events.where("event_id % 3 <> 0"), "-1", 5), a, 1)
+    _land(_document_pages(docs.where("doc_id % 4 = 1"), "-1"), c, 1)
+    _land(_event_pages(events, "-2", None), a, 2)
+    _land(_document_pages(docs, "-2"), c, 2)
+    R.stream_feeds(spark, landings, out, ck, max_files=2, buckets=8)
+    _land(_event_pages(events, "-3", None), a, 3)
+    stored = R.stream_feeds(spark, landings, out, ck, max_files=2, buckets=8)
+    return stored.select("source", "source_id", "title", "company", "location", "remote", "salary_min", "description", "posted_at")

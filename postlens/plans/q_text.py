@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 from postlens.functions.scalars import explode_present
 from postlens.operators import evaluate as EV
 from postlens.operators.dedup import set_diff
-from postlens.operators.enrich import enrich
+from postlens.operators.enrich import enrich, enrich_run, write_bucketed
 from postlens.operators.market import value_counts
 from postlens.operators.tagging import Term, classify_first, explode_terms, tag_terms, tokenize
 from postlens.plans.catalog_sql import TAG_SQL
 from postlens.plans.fixtures import DOC_RULES, DOC_VOCAB
 from postlens.plans.registry import query
+from postlens.session import checkpoint_dir, scratch_path
 from postlens.sources.tables import table
 
 WB = r"[^\p{L}\p{N}_]"
@@ -180,3 +184,45 @@ def stub_model(texts: pd.Series) -> pd.Series:
 def q_enrich_stub(spark, sf):
     ok, rejected = enrich(_docs(spark, sf), "doc_id", "text", stub_model)
     return ok.select("doc_id", F.array_join("skills", "|").alias("skills"), "seniority", "method")
+
+
+def counting_model(texts: pd.Series) -> pd.Series:
+    """Deterministic stand-in for a hosted model whose reply SQL can say: skills by the text's length and words, no seniority of
+    the domain for every other text, a broken reply for every 7th length."""
+    out = []
+    for t in texts.fillna(""):
+        skills = [f"size {len(t) % 5};", "", "x" * 80] + (["Python3."] if "the" in t else [])
+        body = json.dumps({"skills": skills, "seniority": "mid" if len(t) % 2 else "lead"})
+        out.append("{broken" if len(t) % 7 == 0 else f"```json\n{body}\n```" if len(t) % 3 else body)
+    return pd.Series(out, index=texts.index, dtype="object")
+
+
+@query("enrich_run", """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, doc_id % 5 = 4 AS before FROM documents),
+s AS (SELECT *, NOT before AND length(t) % 7 <> 0 AS worked FROM d)
+SELECT doc_id, before OR worked AS extracted,
+       CASE WHEN worked THEN CASE WHEN length(t) % 2 = 1 THEN 'mid' END ELSE 'entry' END AS seniority,
+       CASE WHEN worked THEN CASE WHEN contains(t, 'the') THEN 'llm:Python|' ELSE '' END || 'llm:size ' || (length(t) % 5)
+            WHEN doc_id % 2 = 0 THEN 'rules:old' ELSE '' END AS skills,
+       (SELECT count(*) FROM s WHERE worked) AS done, (SELECT count(*) FROM s WHERE NOT before AND NOT worked) AS failed
+FROM s""")
+def q_enrich_run(spark, sf):
+    """Two runs over all pending documents: the first takes a limited number, the second all that are left, the rejected ones of
+    the first among them."""
+    checkpoint_dir(spark)
+    base = scratch_path(spark, f"enrich-{uuid.uuid4().hex}")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    work = docs.select("doc_id", (F.col("doc_id") % 5 == 4).alias("extracted"), F.lit("entry").alias("seniority"))
+    write_bucketed(work, f"{base}/work", "doc_id", 8)
+    old = docs.where("doc_id % 2 = 0").select("doc_id", F.lit("old").alias("skill"), F.lit("rules").alias("method"))
+    write_bucketed(old, f"{base}/skills", "doc_id", 8)
+    runs = [enrich_run(spark, f"{base}/work", f"{base}/skills", f"{base}/run-{i}", counting_model, "doc_id", "text", docs, limit, 8)
+            for i, limit in enumerate((100, None))]
+    first, last = (r.select("done", "failed") for r in runs)
+    skills = spark.read.parquet(f"{base}/skills").groupBy("doc_id").agg(
+        F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "method", "skill"))), "|").alias("skills"))
+    # rows that the first run rejected are asked and rejected again by the second
+    done = first.select("done").scalar() + last.select("done").scalar()
+    return spark.read.parquet(f"{base}/work").join(skills, "doc_id", "left").select(
+        "doc_id", "extracted", "seniority", F.coalesce("skills", F.lit("")).alias("skills"), done.alias("done"),
+        last.select("failed").scalar().alias("failed"))

@@ -53,3 +53,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables and streaming state."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def _at(spark: SparkSession, path: str):
+    """A path and the file system that it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _at(spark, path)
+    return fs.exists(p)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder; one that is there stays as it is."""
+    fs, p = _at(spark, path)
+    fs.mkdirs(p)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _at(spark, path)
+    fs.delete(p, True)

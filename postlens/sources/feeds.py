@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from postlens.functions.scalars import compose_key, in_region, is_relevant, iso_date, join_names, strip_html, true_or_null
+from postlens.session import make_folder
 
 POSTING_COLUMNS = ["source", "source_id", "title", "company", "location", "remote", "salary_min", "salary_max",
                    "description", "url", "posted_at"]
@@ -70,6 +71,24 @@ def read_feed(spark: SparkSession, path: str | Sequence[str], spec: FeedSpec) ->
     return conform(df, spec, page=F.input_file_name())
 
 
+def read_feed_stream(spark: SparkSession, path: str, spec: FeedSpec, max_files: int | None = None) -> DataFrame:
+    """S1-S4 on a landing folder that keeps growing: every file that lands (in sub-folders too) is read once, with the
+    declared payload schema, and conformed in flight; page = source file. A line that is no JSON object of the layout gives no
+    postings. ``max_files`` bounds a micro-batch."""
+    r = spark.readStream.schema(spec.payload_schema()).option("mode", "PERMISSIVE").option("recursiveFileLookup", "true")
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return conform(r.json(path), spec, page=F.input_file_name())
+
+
+def landed_feeds(spark: SparkSession, landings: Sequence[tuple[str, FeedSpec]], max_files: int | None = None) -> DataFrame:
+    """S5 on streams: the conformed rows of several landing folders as one stream, ``feed_ord`` in the given order. A folder
+    that isn't there yet (no fetch of that feed has succeeded) is made, so that the stream's sources stay the same."""
+    for path, _ in landings:
+        make_folder(spark, path)
+    return union_feeds([read_feed_stream(spark, path, spec, max_files) for path, spec in landings])
+
+
 def parse_feed(df: DataFrame, col: str, spec: FeedSpec, page: Column | None = None) -> DataFrame:
     """S1-S4 over a column of JSON payload strings (e.g. a landing table)."""
     parsed = df.select(F.from_json(F.col(col), spec.payload_schema()).alias("p"),

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from postlens.operators.dedup import dedup_append
+from postlens.operators.dedup import dedup_append, first_per_key
+from postlens.session import delete_folder
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType | str | None, empty: StructType | str | None = None) -> DataFrame:
@@ -82,15 +83,16 @@ def replace_by_key_table(spark: SparkSession, path: str, new: DataFrame, key: st
     touched = keys.select(key_bucket(key, buckets).alias("bucket")).distinct()
     affected = target.join(touched, "bucket", "left_semi")
     rewritten = replace_by_key(affected, new_b, key, method, method_col, processed).checkpoint(eager=True)
-    (rewritten.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bucket").parquet(path))
-    empty = touched.join(rewritten.select("bucket").distinct(), "bucket", "left_anti").collect()  # at most ``buckets`` integers
-    if empty:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        folders = [hadoop.Path(f"{path}/bucket={r[0]}") for r in empty]
-        fs = folders[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for folder in folders:
-            fs.delete(folder, True)
+    overwrite_buckets(spark, path, rewritten, touched)
+
+
+def overwrite_buckets(spark: SparkSession, path: str, rows: DataFrame, touched: DataFrame) -> None:
+    """Put ``rows`` in place of all rows of the ``touched`` (bucket) buckets of the table at ``path``; a bucket left without
+    rows is removed. ``rows`` must be stored elsewhere, since the table's own files go; doing it again changes nothing."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    empty = touched.join(rows.select("bucket").distinct(), "bucket", "left_anti").collect()  # at most one integer a bucket
+    for r in empty:
+        delete_folder(spark, f"{path}/bucket={r[0]}")
 
 
 def fill_if_missing(df: DataFrame, col: str, expr: Column) -> DataFrame:
@@ -99,8 +101,9 @@ def fill_if_missing(df: DataFrame, col: str, expr: Column) -> DataFrame:
 
 
 def update_by_key(target: DataFrame, upd: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """K4: overwrite ``cols`` for matched keys, even with NULL."""
-    u = upd.select(key, *[F.col(c).alias(f"_u_{c}") for c in cols], F.lit(True).alias("_m"))
+    """K4: overwrite ``cols`` for matched keys, even with NULL. Of several updates of one key the smallest by ``cols`` (NULL
+    first) holds, so no target row is multiplied."""
+    u = first_per_key(upd.select(key, *cols), key, cols).select(key, *[F.col(c).alias(f"_u_{c}") for c in cols], F.lit(True).alias("_m"))
     j = target.join(u, key, "left")
     out = j.select(*[F.when(F.col("_m"), F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c)
                      for c in target.columns])
@@ -116,7 +119,9 @@ def read_artifact(spark: SparkSession, path: str, schema: StructType | str) -> D
     """The artefact if present, else an empty frame with the declared schema."""
     try:
         return spark.read.schema(schema).json(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from postlens.operators.alerts import digest
-from postlens.sources.sinks import append_new
+from postlens.sources.feeds import POSTING_DDL, FeedSpec, landed_feeds
+from postlens.sources.sinks import append_new, read_or_empty
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, glob: str | None = None,
@@ -42,11 +43,28 @@ def stream_ingest(stream: DataFrame, target: str, key: str, order: Sequence[str]
     spark = stream.sparkSession
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        append_new(spark, target, batch, key, order, text, partition_by, buckets)
+        batch = batch.persist()  # its buckets, its keys and its rows: several passes over one micro-batch
+        try:
+            append_new(spark, target, batch, key, order, text, partition_by, buckets)
+        finally:
+            batch.unpersist()
 
     _run(stream.writeStream.foreachBatch(per_batch), checkpoint)
 
 
+def stream_feeds(spark: SparkSession, landings: Sequence[tuple[str, FeedSpec]], target: str, checkpoint: str,
+                 max_files: int | None = None, buckets: int | None = 64) -> DataFrame:
+    """S1-S5 and R1 together: JSON files that landed in the feeds' folders are conformed, united in feed order and appended to
+    ``target``, each source_id once. Of several copies the one of the earliest micro-batch stays, within one that of the first
+    feed, then file, then place; copies without description don't count. Returns the stored table.
+
+    A run reads what landed since the last one (kept in ``checkpoint``) and stops; ``max_files`` bounds what a micro-batch takes
+    of each feed. ``landings`` must stay the same from run to run."""
+    stream_ingest(landed_feeds(spark, landings, max_files), target, "source_id", ["feed_ord", "page", "pos"], "description",
+                  checkpoint, buckets=buckets)
+    return read_or_empty(spark, target, None, POSTING_DDL)
+
+
 def stream_dedup(stream: DataFrame, ts: str, key: Sequence[str], delay: str, path: str, checkpoint: str) -> None:
     """R2: bounded-state dedup: a key is dropped when seen again within ``delay`` of event time (exactness beyond the
     watermark stays with R1's anti-join)."""
