@@ -14,13 +14,19 @@ from pyspark.sql import functions as F
 from postlens.functions.predicates import any_of, is_true, search, since
 from postlens.functions.scalars import day_label, falsy, midpoint, salary_band
 from postlens.operators.market import median_mid, set_share
+from postlens.operators.ranking import with_rank
 
 
 def find_matches(df: DataFrame, as_of: str, hours: int, levels: Sequence[str], ts: str = "ingested_at") -> DataFrame:
-    """A1: postings ingested within the look-back window at the given levels (newest first)."""
+    """A1: postings ingested within the look-back window at the given levels; ``newest_first`` puts them in order."""
     return df.where(since(ts, as_of, hours) & any_of("seniority", levels))
 
 
+def newest_first(matches: DataFrame, ts: str = "ingested_at", key: str = "job_id") -> DataFrame:
+    """A1's order: matches with their ``rank`` from the newest on (ties: key)."""
+    return with_rank(matches, [F.col(ts).desc(), key])
+
+
 def feed_filter(df: DataFrame, needle: str | None = None, levels: Sequence[str] = (), remote_only: bool = False,
                 salary_only: bool = False) -> DataFrame:
     """A2 filters: search needle, levels, remote == True, both salary bounds present."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from postlens.functions.scalars import col_of, explode_present, midpoint, regex_quote, round_even
 from postlens.operators.median import exact_median
+from postlens.operators.ranking import with_rank
 
 
 def value_counts(df: DataFrame, col: str, name: str = "n") -> DataFrame:
@@ -214,6 +215,16 @@ def topk_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k:
     return df.withColumn(rank_col, F.row_number().over(w).cast("long")).where(F.col(rank_col) <= k)
 
 
+def ranked_regions(profile: DataFrame) -> DataFrame:
+    """G9's order: a region profile with each region's ``rank`` by descending count (ties: name)."""
+    return with_rank(profile, [F.col("n").desc(), "region"])
+
+
+def ordered_mix(dense: DataFrame) -> DataFrame:
+    """T5's order: re-indexed counts with each value's ``rank`` in the domain."""
+    return with_rank(dense, ["ord"])
+
+
 def latest_n(df: DataFrame, ts: str, key: str, n: int) -> DataFrame:
     """Newest n rows (TakeOrderedAndProject)."""
     return df.orderBy(F.col(ts).desc(), F.col(key)).limit(n)

@@ -23,7 +23,7 @@ def exact_median(df: DataFrame, by: Sequence[str], value: str | Column, out: str
     """(by..., out[, count_col]) with the interpolated median of ``value`` per group; NULL values are ignored, groups
     without a value are absent (join back with a left join to get NULL). Nothing runs while the plan is made."""
     by = list(by)
-    keys = by or [_KEY]
+    keys = by or [_KEY]  # without groups everything is one, and its bracket and size come as a scalar subquery
     v = F.col(value) if isinstance(value, str) else value
     src = df.select(*[F.col(c) for c in by], v.cast("double").alias("_v"))
     if not by:
@@ -32,11 +32,14 @@ def exact_median(df: DataFrame, by: Sequence[str], value: str | Column, out: str
     counts = src.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     reach = 2 / ACCURACY
     state = src.groupBy(*keys).agg(F.percentile_approx("_v", [0.5 - reach, 0.5 + reach], ACCURACY).alias("_b"), F.count(F.lit(1)).alias("_n"))
-    same = [counts[k].eqNullSafe(state[k]) for k in keys]
-    on = same[0]
-    for c in same[1:]:
-        on = on & c
-    both = counts.join(state, on).select(*[counts[k] for k in keys], "_v", "_c", "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
+    if by:
+        on = counts[keys[0]].eqNullSafe(state[keys[0]])
+        for k in keys[1:]:
+            on = on & counts[k].eqNullSafe(state[k])
+        both = counts.join(state, on).select(*[counts[k] for k in keys], "_v", "_c", "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
+    else:
+        of = state.select(F.struct("_n", "_b").alias("s")).scalar()
+        both = counts.select(_KEY, "_v", "_c", of["_n"].alias("_n"), of["_b"][0].alias("_lo"), of["_b"][1].alias("_hi"))
     below = F.when(F.col("_v") < F.col("_lo"), F.col("_c")).otherwise(0)
     # counts below the bracket are one row a group after this aggregate; values above it are not needed
     inside = both.where(F.col("_v") <= F.col("_hi")).withColumn("_in", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")))

@@ -1,9 +1,10 @@
 """Features and models M1-M9 on ``pyspark.ml`` (distributed fits; only model coefficients reach the driver).
 
-* M1 ``build_features``: salary set -> frequent terms -> multi-hot + one-hot + remote -> ``VectorAssembler``.
+* M1 ``build_features``: salary set -> frequent terms -> multi-hot + one-hot + remote in long form -> feature index and
+  sparse vectors by aggregation (no list of terms on the driver, no pivot, any width).
 * M2 ``split``: hash split (stable under repartitioning, unlike ``randomSplit``).
 * M3 ``regression_metrics`` / ``baseline``: MAE, R2, median predictor.
-* M4 ``ridge_premiums``: L2 linear regression whose penalty equals an unstandardised ridge with alpha.
+* M4 ``ridge_premiums``: iterative L2 least squares of any width, whose penalty equals an unstandardised ridge with alpha.
 * M5 ``boosted_trees``: gradient-boosted trees.
 * M6/M7 ``cluster_roles`` / ``tfidf``: smoothed TF-IDF (+1) with L2 norm, KMeans with restarts.
 * M8 ``cluster_profile``: size, median, top terms, title-word labels with collision handling.
@@ -13,20 +14,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+import uuid
 
-from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, Normalizer, VectorAssembler
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from postlens.functions.scalars import LEVELS, explode_present, midpoint, round_even
 from postlens.operators.market import grouped_median, region_last, scalar_median, topk_per_group
+from postlens.operators.ranking import with_rank
 from postlens.operators.tagging import tokenize
-from postlens.session import checkpoint_dir
+from postlens.session import checkpoint_dir, scratch_path
 
 # Title words ignored when labelling clusters.
 TITLE_STOPWORDS = [
@@ -71,37 +73,60 @@ def feature_rows(postings: DataFrame, terms: DataFrame, regions: Sequence[tuple[
     return posting.unionByName(sk).withColumn("value", F.lit(1.0))
 
 
+def feature_index(rows: DataFrame, feature: str = "feature") -> DataFrame:
+    """(feature, idx): the distinct features numbered from 0 in ascending order, by a distributed rank."""
+    return with_rank(rows.select(feature).where(F.col(feature).isNotNull()).distinct(), [feature], "idx", first=0).withColumn(
+        "idx", F.col("idx").cast("int"))
+
+
+def sparse_vectors(base: DataFrame, rows: DataFrame, keys: Sequence[str], feature: str = "feature", value: str = "value"
+                   ) -> tuple[DataFrame, DataFrame]:
+    """(``base`` with its vectors in column features, index (feature, idx)) from ``rows`` (keys..., feature, value).
+
+    A key's vector holds the summed values of its features and is sparse; a key of ``base`` without rows gets one without
+    entries. Vectors are made by aggregation alone: their parts are written as a table of arrays, in the layout in which a vector
+    is stored, and read back as vectors. Only their width reaches the driver."""
+    spark = base.sparkSession
+    checkpoint_dir(spark)
+    index = feature_index(rows, feature)
+    width = index.count()
+    cells = rows.groupBy(*keys, feature).agg(F.sum(value).alias("_v")).join(index, feature)
+    cells = cells.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("idx", "_v"))).alias("_cells"))
+    both = base.join(cells, list(keys), "left").withColumn("_cells", F.coalesce("_cells", F.array().cast("array<struct<idx:int,_v:double>>")))
+    vector = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(width).alias("size"), F.transform("_cells", lambda c: c["idx"]).alias("indices"),
+                      F.transform("_cells", lambda c: c["_v"]).alias("values"))
+    out = both.select(*base.columns, vector.alias("features"))
+    path = scratch_path(spark, f"vectors-{uuid.uuid4().hex}")
+    out.write.parquet(path)
+    schema = StructType([*base.schema.fields, StructField("features", VectorUDT())])
+    return spark.read.schema(schema).parquet(path), index
+
+
+def vector_entries(df: DataFrame, key: str, features: str = "features") -> DataFrame:
+    """(key, idx, value): the entries of sparse vectors."""
+    parts = F.from_json(F.to_json(F.struct(F.col(features).alias("v"))), "v struct<indices:array<int>,values:array<double>>")["v"]
+    pairs = df.select(key, F.arrays_zip(parts["indices"].alias("idx"), parts["values"].alias("value")).alias("p"))
+    return explode_present(pairs, F.col("p"), "e", key).select(key, "e.idx", "e.value")
+
+
 def build_features(postings: DataFrame, terms: DataFrame, regions: Sequence[tuple[str, Sequence[str]]],
                    min_n: int = 10, lo: float = 30000, hi: float = 500000, key: str = "job_id", term: str = "skill",
-                   levels: Sequence[str] = LEVELS) -> tuple[DataFrame, list[str]]:
-    """M1: (key, salary, features vector) and the feature names (one-hot seniority for all levels, NULL -> zeros;
-    metro last-match-wins incl. 'Other'; remote NULL -> 0; multi-hot frequent terms, absent -> 0)."""
-    sal = salary_set(postings, lo, hi, key)
-    kept_rows = frequent_terms(terms, sal, min_n, key, term).orderBy(term).collect()  # <= vocabulary size
-    kept = [r[term] for r in kept_rows]
-    metros = [name for name, _ in regions] + ["Other"]
-    base = sal.select(key, "salary", "seniority", "remote", region_last("location", regions).alias("metro"))
-    cols = {f"seniority: {lv}": F.when(F.col("seniority") == lv, 1.0).otherwise(0.0) for lv in levels}
-    cols.update({f"metro: {m}": F.when(F.col("metro") == m, 1.0).otherwise(0.0) for m in metros})
-    cols["remote"] = F.when(F.col("remote").eqNullSafe(True), 1.0).otherwise(0.0)
-    x = base.select(key, "salary", *[v.alias(k) for k, v in cols.items()])
-    if kept:
-        hot = (terms.where(F.col(term).isin(kept)).join(sal.select(key), key, "left_semi")
-               .groupBy(key).pivot(term, kept).agg(F.lit(1.0)))
-        hot = hot.select(key, *[F.col(f"`{t}`").alias(f"skill: {t}") for t in kept])
-        x = x.join(hot, key, "left").fillna(0.0)
-    names = list(cols) + [f"skill: {t}" for t in kept]
-    assembler = VectorAssembler(inputCols=names, outputCol="features")
-    return assembler.transform(x.select(key, "salary", *[F.col(f"`{n}`") for n in names])).select(
-        key, "salary", "features"), names
+                   levels: Sequence[str] = LEVELS) -> tuple[DataFrame, DataFrame]:
+    """M1: (key, salary, features vector) and the index of its features (feature, idx).
+
+    One-hot seniority (NULL -> zeros), metro last-match-wins incl. 'Other', remote (NULL -> 0), multi-hot frequent terms; a
+    feature that no posting has is no column. ``key`` must be unique."""
+    rows = feature_rows(postings, terms, regions, min_n, lo, hi, key, term, levels)
+    return sparse_vectors(salary_set(postings, lo, hi, key).select(key, "salary"), rows, [key])
 
 
 def split(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42, method: str = "hash") -> DataFrame:
-    """M2: add ``is_test``; hash of (key, seed) so the split is independent of partitioning ('mod': key % 5 == 0)."""
+    """M2: add ``is_test``; hash of (key, seed) so the split is independent of partitioning ('mod': key % 5 == 0). The hash is
+    the first 8 digits of the SHA-256 of 'key:seed', so that any system can draw the same split."""
     if method == "mod":
         flag = F.pmod(F.col(key), F.lit(round(1 / test_frac))) == 0
     else:
-        flag = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10000)) < int(test_frac * 10000)
+        flag = F.conv(F.substring(F.sha2(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")), 256), 1, 8), 16, 10).cast("long") % 10000 < int(test_frac * 10000)
     return df.withColumn("is_test", flag)
 
 
@@ -120,22 +145,29 @@ def baseline(df: DataFrame, y: str = "salary") -> DataFrame:
     return df.where(F.col("is_test")).withColumn("prediction", med)
 
 
-def ridge_premiums(train: DataFrame, names: Sequence[str], alpha: float = 10.0, prefix: str = "skill: ",
+def ridge_premiums(train: DataFrame, names: Sequence[str] | DataFrame, alpha: float = 10.0, prefix: str = "skill: ",
                    head: int = 10, tail: int = 4, y: str = "salary") -> DataFrame:
-    """M4: ridge coefficients of the prefixed features, top ``head`` and bottom ``tail`` (each once).
-
-    Spark's normal-equation solver minimises 1/(2n)*RSS + regParam/2*||w||^2 on a label scaled by its population std,
-    so regParam = alpha * std_pop(y) / n reproduces sum-of-squares ridge with penalty alpha and a free intercept."""
-    stats = train.agg(F.stddev_pop(y).alias("s"), F.count(F.lit(1)).alias("n")).first()
-    lr = LinearRegression(featuresCol="features", labelCol=y, solver="normal", elasticNetParam=0.0,
-                          standardization=False, fitIntercept=True, regParam=alpha * stats["s"] / stats["n"])
-    model = lr.fit(train)
-    coefs = [(n[len(prefix):], float(c)) for n, c in zip(names, model.coefficients.toArray()) if n.startswith(prefix)]
+    """M4: ridge coefficients of the prefixed features, top ``head`` and bottom ``tail`` (each once): skill, delta (rounded
+    half-even) and rank, its place among all of them from the largest coefficient on.
+
+    ``names`` is the features' index (feature, idx) or their names in order. The fit is iterative (one pass over the rows a
+    step, no matrix of features by features), so any number of features will do. It minimises 1/(2n)*RSS + regParam/2*||w||^2
+    on a label scaled by its standard deviation (n - 1), with a free intercept, so regParam = alpha * std(y) / n reproduces
+    sum-of-squares ridge with penalty alpha. The driver holds the coefficients, one number a feature."""
     spark = train.sparkSession
-    df = spark.createDataFrame(coefs, "skill string, delta double")  # one row per feature (bounded)
-    ranked = sorted(coefs, key=lambda t: (-t[1], t[0]))
-    keep = {s for s, _ in ranked[:head]} | {s for s, _ in ranked[-tail:]} if tail else {s for s, _ in ranked[:head]}
-    return df.where(F.col("skill").isin(list(keep))).select("skill", F.round("delta", 0).cast("long").alias("delta"))
+    if not isinstance(names, DataFrame):
+        names = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "feature string, idx int")
+    stats = train.agg(F.stddev_samp(y).alias("s"), F.count(F.lit(1)).alias("n")).first()
+    lr = LinearRegression(featuresCol="features", labelCol=y, solver="l-bfgs", elasticNetParam=0.0, standardization=False,
+                          fitIntercept=True, regParam=alpha * stats["s"] / stats["n"], maxIter=1000, tol=1e-14)
+    coefficients = lr.fit(train).coefficients.toArray()
+    deltas = spark.createDataFrame([(i, float(c)) for i, c in enumerate(coefficients)], "idx int, delta double")
+    own = names.where(F.col("feature").startswith(prefix)).join(deltas, "idx").select(
+        F.substring("feature", len(prefix) + 1, 1 << 20).alias("skill"), "delta")
+    ranked = with_rank(own, [F.col("delta").desc(), "skill"])
+    least = ranked.count() - tail
+    return ranked.where((F.col("rank") <= head) | (F.col("rank") > least)).select(
+        "skill", F.bround("delta", 0).cast("long").alias("delta"), "rank")
 
 
 def boosted_trees(df: DataFrame, depth: int = 4, rate: float = 0.08, rounds: int = 100, seed: int = 42,
@@ -186,15 +218,12 @@ def cluster_roles(docs: DataFrame, k: int = 6, seeds: Sequence[int] = tuple(rang
                   key: str = "job_id", parallelism: int = 4) -> DataFrame:
     """M6: smoothed TF-IDF (+1) with L2 norm -> KMeans(k); the restart with the lowest training cost wins (ties: the
     earlier seed). Up to ``parallelism`` restarts are fitted concurrently, each a distributed fit submitted from its
-    own driver thread (as ``CrossValidator(parallelism=...)`` does)."""
-    tok = docs.withColumn("tokens", tokenize("doc"))
-    cv = CountVectorizer(inputCol="tokens", outputCol="tf", minDF=float(min_df), vocabSize=2**31 - 1)
-    idf = IDF(inputCol="tf", outputCol="idf_raw")
-    pre = Pipeline(stages=[cv, idf]).fit(tok)
-    idf_vec = pre.stages[1].idf.toArray() + 1.0  # Spark's IDF lacks the +1 of the smoothed variant
-    scaled = ElementwiseProduct(scalingVec=Vectors.dense(idf_vec), inputCol="tf", outputCol="tfidf")
-    norm = Normalizer(inputCol="tfidf", outputCol="features", p=2.0)
-    x = norm.transform(scaled.transform(pre.stages[0].transform(tok))).select(key, "features").cache()
+    own driver thread (as ``CrossValidator(parallelism=...)`` does).
+
+    The weights are M7's long form and become sparse vectors by aggregation, so no vocabulary is gathered on the driver; a
+    document none of whose tokens is frequent has an empty vector. ``key`` must be unique."""
+    weights = tfidf(docs.select(key, tokenize("doc").alias("tokens")), key, "tokens", min_df)
+    x = sparse_vectors(docs.select(key), weights, [key], "token", "weight")[0].persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(seed: int):
         return KMeans(k=k, seed=seed, maxIter=300, featuresCol="features", predictionCol="cluster").fit(x)
@@ -203,12 +232,30 @@ def cluster_roles(docs: DataFrame, k: int = 6, seeds: Sequence[int] = tuple(rang
         models = list(pool.map(fit, seeds))
     best = min(enumerate(models), key=lambda im: (im[1].summary.trainingCost, im[0]))[1]
     # the assignment is written to the shared checkpoint folder, so the cached vectors can be released
-    checkpoint_dir(docs.sparkSession)
     out = best.transform(x).select(key, F.col("cluster").cast("long").alias("cluster")).checkpoint(eager=True)
     x.unpersist()
     return docs.join(out, key)
 
 
+def ranked_clusters(profile: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """T4: a cluster profile with each cluster's ``rank`` by descending size (ties: cluster number)."""
+    sizes = with_rank(profile.select(cluster, "size").distinct(), [F.col("size").desc(), cluster])
+    return profile.join(sizes.select(cluster, "rank"), cluster)
+
+
+def model_report(x: DataFrame, index: DataFrame, alpha: float = 10.0, y: str = "salary", **trees) -> DataFrame:
+    """M9: one row with the numbers of both models over a split frame: n_postings, n_features, n_test, baseline_mae, mae, r2,
+    mae_improvement_pct, premiums (from the largest on)."""
+    metrics = boosted_trees(x, y=y, **trees)
+    premiums = ridge_premiums(x.where(~F.col("is_test")), index, alpha, y=y)
+    listed = premiums.agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "skill", "delta"))),
+                                      lambda p: F.struct(p["skill"].alias("skill"), p["delta"].alias("delta"))).alias("premiums"))
+    return metrics.select(
+        x.select(F.count(F.lit(1))).scalar().alias("n_postings"), index.select(F.count(F.lit(1))).scalar().alias("n_features"), "n_test",
+        F.col("baseline_mae").cast("long").alias("baseline_mae"), F.col("mae").cast("long").alias("mae"), "r2", "mae_improvement_pct",
+        listed.select("premiums").scalar().alias("premiums"))
+
+
 def cluster_profile(members: DataFrame, terms: DataFrame, k_top: int = 6, key: str = "job_id", term: str = "skill",
                     cluster: str = "cluster", stop: Sequence[str] = TITLE_STOPWORDS) -> DataFrame:
     """M8: long-form profile (cluster, label, size, median_salary, rk, skill, share).

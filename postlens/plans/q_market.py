@@ -199,6 +199,24 @@ def q_dense_mix(spark, sf):
     return M.densify(M.value_counts(jobs_fx(spark, sf), "seniority"), "seniority", LEVELS)
 
 
+@query("region_ranking", JK_SQL + f"""
+, r AS ({REGION_SQL})
+SELECT region, n, row_number() OVER (ORDER BY n DESC, region) AS rank FROM (
+  SELECT region, count(salary_min) AS n FROM r JOIN jobs_fx USING (job_id) GROUP BY region
+  HAVING median(CASE WHEN {BOTH} THEN {MID} END) IS NOT NULL AND median(CASE WHEN {BOTH} THEN {MID} END) <> 0)""")
+def q_region_ranking(spark, sf):
+    return M.ranked_regions(M.region_profile(jobs_fx(spark, sf), "location", REGIONS)).select("region", "n", "rank")
+
+
+@query("mix_order", JK_SQL + """
+SELECT d.seniority, d.ord + 1 AS rank, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM (VALUES ('staff+', 3), ('entry', 0), ('mid', 1), ('senior', 2)) d(seniority, ord)
+LEFT JOIN (SELECT seniority, count(*) AS n FROM jobs_fx WHERE seniority IS NOT NULL GROUP BY 1) c USING (seniority)""")
+def q_mix_order(spark, sf):
+    dense = M.densify(M.value_counts(jobs_fx(spark, sf), "seniority"), "seniority", LEVELS)
+    return M.ordered_mix(dense).select("seniority", F.col("rank").cast("int").alias("rank"), "n")
+
+
 @query("semi_join", JK_SQL + f"SELECT job_id, skill FROM skills_fx WHERE job_id IN (SELECT job_id FROM jobs_fx WHERE {FULL})")
 def q_semi_join(spark, sf):
     return semi(skills_fx(spark, sf), full_text(spark, sf).select("job_id"), "job_id")
@@ -259,6 +277,13 @@ def q_alert_matches(spark, sf):
                                                                                       "seniority")
 
 
+@query("alert_order", JK_SQL + _MATCH_SQL + """
+SELECT job_id, ingested_at, row_number() OVER (ORDER BY ingested_at DESC, job_id) AS rank FROM m""")
+def q_alert_order(spark, sf):
+    found = A.find_matches(jobs_fx(spark, sf), AS_OF, HOURS, ["entry", "mid"]).select("job_id", "ingested_at")
+    return A.newest_first(found)
+
+
 _FEED_WHERE = f"""contains(lower(concat_ws(' ', coalesce(title, ''), coalesce(company, ''), coalesce(location, ''))),
   'nation_1') AND seniority IN ('senior', 'staff+') AND {BOTH}"""
 

@@ -31,7 +31,28 @@ def q_features(spark, sf):
     return ML.feature_rows(jobs_fx(spark, sf), skills_fx(spark, sf), REGIONS, min_n=10)
 
 
-@query("split_counts")
+_IS_TEST = "('0x' || substr(sha256(job_id || ':42'), 1, 8))::BIGINT % 10000 < 2000"
+
+
+@query("feature_vectors", JK_SQL + _SAL + """
+, kept AS (SELECT skill FROM skills_fx WHERE job_id IN (SELECT job_id FROM sal) GROUP BY skill HAVING count(*) >= 10),
+base AS (SELECT job_id, seniority, remote,
+                CASE WHEN contains(lower(location), 'nation_10') THEN 'R10' WHEN contains(lower(location), 'nation_2')
+                     THEN 'R2' WHEN contains(lower(location), 'nation_1') THEN 'R1' ELSE 'Other' END AS metro FROM sal),
+rows AS (SELECT job_id, 'seniority: ' || seniority AS feature FROM base WHERE seniority IN ('entry', 'mid', 'senior', 'staff+')
+  UNION ALL SELECT job_id, 'metro: ' || metro FROM base
+  UNION ALL SELECT job_id, 'remote' FROM base WHERE remote IS NOT DISTINCT FROM true
+  UNION ALL SELECT DISTINCT s.job_id, 'skill: ' || s.skill FROM skills_fx s JOIN base b USING (job_id)
+            WHERE s.skill IN (SELECT skill FROM kept)),
+idx AS (SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS idx FROM (SELECT DISTINCT feature FROM rows))
+SELECT job_id, CAST(idx AS INTEGER) AS idx, CAST(1.0 AS DOUBLE) AS value FROM rows JOIN idx USING (feature)""")
+def q_feature_vectors(spark, sf):
+    x, _ = ML.build_features(jobs_fx(spark, sf), skills_fx(spark, sf), REGIONS, min_n=10)
+    return ML.vector_entries(x, "job_id")
+
+
+@query("split_counts", JK_SQL + _SAL + f"""
+SELECT {_IS_TEST} AS is_test, count(*) AS n FROM sal GROUP BY 1""")
 def q_split_counts(spark, sf):
     s = ML.split(ML.salary_set(jobs_fx(spark, sf)), "job_id", 0.2, 42)
     return s.groupBy("is_test").agg(F.count(F.lit(1)).alias("n"))
@@ -61,14 +82,14 @@ def q_regression_metrics(spark, sf):
 
 
 def _model_frame(spark, sf):
-    x, names = ML.build_features(jobs_fx(spark, sf), skills_fx(spark, sf), REGIONS, min_n=10)
-    return ML.split(x, "job_id", 0.2, 42), names
+    x, index = ML.build_features(jobs_fx(spark, sf), skills_fx(spark, sf), REGIONS, min_n=10)
+    return ML.split(x, "job_id", 0.2, 42), index
 
 
 @query("ridge_premiums")
 def q_ridge_premiums(spark, sf):
-    x, names = _model_frame(spark, sf)
-    return ML.ridge_premiums(x.where(~F.col("is_test")), names, alpha=10.0)
+    x, index = _model_frame(spark, sf)
+    return ML.ridge_premiums(x.where(~F.col("is_test")), index, alpha=10.0)
 
 
 @query("gbt_metrics")
@@ -133,13 +154,15 @@ def q_kmeans_profile(spark, sf):
     return ML.cluster_profile(members, skills_fx(spark, sf))
 
 
+@query("cluster_ranking", JK_SQL + """
+, mem AS (SELECT job_id % 6 + job_id % 2 AS cluster FROM jobs_fx)
+SELECT cluster, size, row_number() OVER (ORDER BY size DESC, cluster) AS rank FROM (SELECT cluster, count(*) AS size FROM mem GROUP BY cluster)""")
+def q_cluster_ranking(spark, sf):
+    mem = jobs_fx(spark, sf).withColumn("cluster", F.pmod(F.col("job_id"), F.lit(6)) + F.pmod(F.col("job_id"), F.lit(2)))
+    return ML.ranked_clusters(ML.cluster_profile(mem, skills_fx(spark, sf))).select("cluster", "size", "rank").distinct()
+
+
 @query("model_artifact")
 def q_model_artifact(spark, sf):
-    x, names = _model_frame(spark, sf)
-    base = ML.regression_metrics(ML.baseline(x))
-    prem = ML.ridge_premiums(x.where(~F.col("is_test")), names, alpha=10.0)
-    arr = F.array_sort(F.collect_list(F.struct(F.col("delta"), F.col("skill"))))
-    premiums = prem.agg(F.reverse(arr).alias("premiums"))
-    return base.select(F.to_json(F.struct(
-        F.col("n_test"), F.bround("mae", 0).cast("long").alias("baseline_mae"),
-        premiums.select("premiums").scalar().alias("premiums"))).alias("artifact"))
+    x, index = _model_frame(spark, sf)
+    return ML.model_report(x, index).select(F.to_json(F.struct("*")).alias("artifact"))
