@@ -32,6 +32,13 @@ NONE = np.int32(2**31 - 1)
 class Vocabulary:
     """Ranks of a tiktoken file as arrays: byte ids, the hash table of pairs, the tokens' bytes."""
 
+    @classmethod
+    def of(cls, fields: dict) -> Vocabulary:
+        """The vocabulary that ``vars`` gave ``fields`` of."""
+        out = cls.__new__(cls)
+        vars(out).update(fields)
+        return out
+
     def __init__(self, lines: list[bytes], pattern: str):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(None, lines))}
         self.pattern = pattern
@@ -220,11 +227,11 @@ def bpe_encode(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary, tex
     Special tokens are not known: their strings are ordinary text. A null or empty text has no ids (an empty value).
     Bytes that are not UTF-8 count as U+FFFD. Other columns, extra ones too, pass through; an input column named ids is
     replaced."""
-    shared = spark.sparkContext.broadcast(vocabulary)
+    shared = spark.sparkContext.broadcast(vars(vocabulary))  # arrays only: a broadcast object would need this package on the executors
     schema, arrow = _whole(docs.schema, "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(shared.value)
+        encoder = _Encoder(Vocabulary.of(shared.value))
         for batch in batches:
             out: list[bytes] = []
             some: list[str] = []
@@ -245,11 +252,11 @@ def bpe_encode(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary, tex
 def bpe_decode(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
     """``docs`` with a column decoded: the bytes that the packed ``ids`` stand for. Null ids give empty bytes; an id
     outside the vocabulary fails. Other columns pass through; an input column named decoded is replaced."""
-    shared = spark.sparkContext.broadcast(vocabulary)
+    shared = spark.sparkContext.broadcast(vars(vocabulary))
     schema, arrow = _whole(docs.schema, "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
+        v = Vocabulary.of(shared.value)
         for batch in batches:
             out = []
             for t in batch.column(ids).cast(pa.large_binary()):

@@ -102,20 +102,22 @@ def decay(scores: np.ndarray, weights: np.ndarray) -> float:
 
 def maximal_segments(at: list[int], before: list[float], after: list[float]) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first, last, score), from the places of the positive scores and the running sums
-    before and after each; linear but for re-joins of candidates, each of which removes one."""
-    found: list[tuple[int, int, float, float]] = []  # first, last, sum before, sum after
+    before and after each. Each candidate keeps the place of the last one before it that starts lower, so a search passes over
+    those that don't, and the scan is linear."""
+    found: list[tuple[int, int, float, float, int]] = []  # first, last, sum before, sum after, last one that starts lower
     for p, left, right in zip(at, before, after):
-        first = p
+        first, j = p, len(found) - 1
         while True:
-            j = len(found) - 1
             while j >= 0 and found[j][2] >= left:
-                j -= 1
+                j = found[j][4]
             if j < 0 or found[j][3] >= right:
-                found.append((first, p, left, right))
+                found.append((first, p, left, right, j))
                 break
-            first, left = found[j][0], found[j][2]
+            first, left = found[j][0], found[j][2]  # joined with that one; what stood between goes
+            lower = found[j][4]
             del found[j:]
-    return [(a, b, y - x) for a, b, x, y in found]
+            j = lower
+    return [(a, b, y - x) for a, b, x, y, _ in found]
 
 
 def _scan(model):

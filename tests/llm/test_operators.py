@@ -3,8 +3,10 @@
 import base64
 import hashlib
 import math
+import pickle
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -72,6 +74,19 @@ def test_minhash_empty(spark, empty):
 
 
 # 2 -------------------------------------------------------------------------------------------------------------------
+def test_bpe_functions_need_no_package_on_executors(vocabulary):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    plain = pickle.dumps(vars(vocabulary))  # as a broadcast is
+    task = cloudpickle.dumps(bpe.Vocabulary)  # as a function's own names are
+    code = "import pickle, sys; a, b = pickle.load(sys.stdin.buffer); print(len(pickle.loads(b).of(pickle.loads(a)).ends))"
+    out = subprocess.run([sys.executable, "-c", code], input=pickle.dumps((plain, task)), capture_output=True, cwd="/", env={})
+    assert out.returncode == 0 and int(out.stdout) == len(vocabulary.ends), out.stderr
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return bpe.load_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -293,6 +308,20 @@ def plain_leaks(docs, items, per_cent=80):
     return sorted((d, i, round(x, 9), -s) for (d, i), (x, s) in out.items())
 
 
+def test_decontaminate_long_item_and_short_documents(spark):
+    rng = random.Random(9)
+    word = lambda: "q" + "".join(rng.choice("abcdefghij") for _ in range(5))
+    long = [word() for _ in range(17_000)]
+    items = [(0, " ".join(long))] + [(i, " ".join(word() for _ in range(9))) for i in range(1, 301)]
+    found = [(1000, "before " + " ".join(long[:9000] + [word()] + long[9000:]) + " after"), (1001, " ".join(long[:12_000]))]
+    # 8 of an item's 9 words: 4 of 5 shingles, a similarity of exactly 0.8
+    found += [(i, " ".join(t.split()[i % 2:][:8])) for i, t in items[1:]] + [(i + 500, " ".join(t.split()[:7])) for i, t in items[1:]]
+    df = spark.createDataFrame(found, "doc_id long, text string")
+    got = decontaminate.contaminated(spark, df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1000, 0)} | {(i, i) for i in range(1, 301)}
+    assert all(abs(r.similarity - 0.8) < 1e-12 for r in got if r.item_id)
+
+
 def test_decontaminate(spark, docs, rows):
     rng = random.Random(4)
     word = lambda: "q" + "".join(rng.choice("abcdefg") for _ in range(4))
@@ -400,6 +429,16 @@ def test_maximal_segments():
         assert max((x[2] for x in got), default=0) == max((x[2] for x in best(0, len(s))), default=0)
 
 
+def test_maximal_segments_are_found_in_linear_time():
+    for n in (20_000, 200_000):
+        # each positive score starts lower than all before it; then one that joins them all
+        before = [-2.0 * i for i in range(n)]
+        start = time.process_time()
+        got = toxicity.maximal_segments(list(range(n)), before, [x + 1 for x in before])
+        assert len(got) == n and time.process_time() - start < 2 + n / 50_000
+        assert len(toxicity.maximal_segments(list(range(n)), list(map(float, range(n))), [x + 1.0 for x in range(n)])) == 1
+
+
 def test_toxicity(spark, docs, rows, empty):
     rng = random.Random(6)
     words = ["w" + "".join(rng.choice("abcdef") for _ in range(3)) for _ in range(300)]
