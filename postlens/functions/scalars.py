@@ -137,7 +137,7 @@ def strip_html(c: str | Column) -> Column:
 
 _ISO = (
     r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,6})?)?(Z|[+-]([01]\d|2[0-3]):?[0-5]\d)?)?$"
+    r"([T ]([01]\d|2[0-3])(:[0-5]\d(:[0-5]\d(\.\d{1,6})?)?)?(Z|[+-]([01]\d|2[0-3])(:?[0-5]\d(:?[0-5]\d)?)?)?)?$"
 )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.predicates import has_text
@@ -62,3 +62,15 @@ def set_diff(df: DataFrame, pred: str, gold: str) -> DataFrame:
         "spurious": F.array_sort(F.array_except(pred, gold)),
         "missed": F.array_sort(F.array_except(gold, pred)),
     })
+
+
+def flag_new(existing: DataFrame, batch: DataFrame, key: str, order: Sequence[str], text: str, source: str) -> DataFrame:
+    """D1 that flags instead of filtering: per key and source of ``batch`` its rows, and whether ``dedup_append`` takes the
+    key's row from that source (is_new). One pass over the batch: rows meet in (key, source) before anything is shuffled, and
+    the window that picks a key's source runs over one row a source."""
+    best = F.min(F.when(has_text(text), F.struct(*[F.col(c) for c in order], F.col(source).alias("_source"))))
+    per = batch.groupBy(key, source).agg(F.count(F.lit(1)).alias("rows"), best.alias("_best"))
+    known = existing.select(key).join(per.select(key), key, "left_semi").distinct().withColumn("_known", F.lit(True))
+    first = F.row_number().over(Window.partitionBy(key).orderBy(F.col("_best").asc_nulls_last())) == 1
+    return per.join(known, key, "left").withColumn(
+        "is_new", first & F.col("_best").isNotNull() & F.col("_known").isNull()).select(key, source, "rows", "is_new")

@@ -270,8 +270,8 @@ UNION ALL SELECT 'ALL', CAST(sum(new_rows) AS BIGINT), CAST(sum(skipped) AS BIGI
                  (SELECT count(*) FROM e) + (SELECT count(*) FROM new) FROM per""")
 def q_ingest_report(spark, sf):
     existing, batch = _existing(spark, sf), _batch(spark, sf)
-    new = D.dedup_append(existing, batch, "key", ORDER, "text")
-    return K.ingest_report(batch, new, "source", existing.select(F.count(F.lit(1))).scalar())
+    flags = D.flag_new(existing, batch, "key", ORDER, "text", "source")
+    return K.flagged_report(flags, "source", existing.select(F.count(F.lit(1))).scalar())
 
 
 _K2_SQL = JK_SQL + """

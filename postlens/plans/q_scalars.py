@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from postlens.functions import predicates as P
 from postlens.functions import scalars as S
+from postlens.operators.aliases import normalized_counts
 from postlens.plans.fixtures import JK_SQL, jobs_fx, skills_fx
 from postlens.plans.registry import query
 from postlens.sources.tables import table
@@ -74,9 +75,8 @@ FROM c GROUP BY 1""")
 def q_normalize_terms(spark, sf):
     d = table(spark, sf, "documents")
     toks = S.explode_present(d, F.regexp_extract_all("text", F.lit(r"(\S+)"), 1), "tok")
-    # count raw tokens first (map-side combine), then normalise each distinct token once and re-add
-    raw = toks.groupBy("tok").agg(F.count(F.lit(1)).alias("c"))
-    return raw.groupBy(S.normalize_term("tok", DOC_ALIASES).alias("term")).agg(F.sum("c").alias("n"))
+    aliases = spark.createDataFrame(list(DOC_ALIASES.items()), "alias string, canonical string")
+    return normalized_counts(toks, "tok", aliases)
 
 
 @query("compose_key", "SELECT doc_id, concat(source, ':', CAST(doc_id AS VARCHAR)) AS key FROM documents")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
 import pandas as pd
@@ -13,7 +14,8 @@ from postlens.operators import evaluate as EV
 from postlens.operators.dedup import set_diff
 from postlens.operators.enrich import enrich, enrich_run, write_bucketed
 from postlens.operators.market import value_counts
-from postlens.operators.tagging import Term, classify_first, explode_terms, tag_terms, tokenize
+from postlens.operators.tagging import (SKILL_CUSTOM, SKILL_FORMS, Term, classify_first, explode_terms, skill_vocabulary, tag_terms,
+                                        tokenize)
 from postlens.plans.catalog_sql import TAG_SQL
 from postlens.plans.fixtures import DOC_RULES, DOC_VOCAB
 from postlens.plans.registry import query
@@ -165,6 +167,34 @@ def q_read_gold(spark, sf):
     return g.select("key", F.array_join("terms", "|").alias("terms"))
 
 
+#: Words of the shipped vocabulary, put behind the documents' texts, which hold few of them.
+SURFACES = ["Python and SQL", "JavaScript", "java, scala", "scalability", "rusty", "in R, mostly", "C++ or Rust", "machine  learning",
+            "ML ops; ml", "GitHub Actions", "github", "GitHub, GitLab", "git", "time-series", "Retrieval augmented generation", "k8s CI/CD",
+            "RESTful APIs", "excellent", "Excel", "vector dbs", "data warehousing", "a/b testing", "scikit-learn", "ScikitLearn", "power bi",
+            "hugging face", "LLM", "LLMs", "large language model", "data visualisation", "elastic search", "pysparks", "x_ml"]
+
+
+def _shipped_sql() -> str:
+    """The shipped vocabulary without look-arounds: they say nothing between word boundaries, but for one, which is put in other
+    words."""
+    rows = []
+    for term, forms in sorted(SKILL_FORMS.items()):
+        plain = "|".join(re.sub(r"\(\?![^)]*\)", "", f).replace("\\b", "") for f in forms)
+        text = "replace(lower(t), 'github actions', ' # ')" if term == "Git" else "t"
+        rows.append(f"CASE WHEN regexp_matches({text}, '(?i)(^|{WB})(?:{plain})({WB}|$)') THEN '{term}' END")
+    rows += [f"CASE WHEN regexp_matches(t, '{SKILL_CUSTOM['R'][0]}') THEN 'R' END", "CASE WHEN regexp_matches(t, '(?i)\\bc\\+\\+') THEN 'C++' END"]
+    surfaces = ", ".join(f"'{s}'" for s in SURFACES)
+    return f"""WITH d AS (SELECT doc_id, text || ' ' || [{surfaces}][doc_id % {len(SURFACES)} + 1] AS t FROM documents)
+SELECT doc_id, array_to_string(list_sort(list_filter([{", ".join(rows)}], lambda x: x IS NOT NULL)), '|') AS terms FROM d"""
+
+
+@query("tag_shipped", _shipped_sql())
+def q_tag_shipped(spark, sf):
+    more = F.element_at(F.array(*[F.lit(s) for s in SURFACES]), (F.pmod("doc_id", F.lit(len(SURFACES))) + 1).cast("int"))
+    d = _docs(spark, sf).select("doc_id", F.concat("text", F.lit(" "), more).alias("t"))
+    return tag_terms(d, ["t"], skill_vocabulary()).select("doc_id", F.array_join("terms", "|").alias("terms"))
+
+
 def stub_model(texts: pd.Series) -> pd.Series:
     """Deterministic stand-in for a hosted model: fenced JSON with the first words as skills; every 7th text gets a
     broken reply."""

@@ -146,6 +146,18 @@ def ingest_report(batch: DataFrame, new: DataFrame, source: str = "source",
     return out
 
 
+def flagged_report(flags: DataFrame, source: str = "source", stored: Column | None = None) -> DataFrame:
+    """K6 from ``dedup.flag_new``: one rollup gives the sources' new and skipped rows and the 'ALL' row; with ``stored`` also the
+    table's size after the append."""
+    new = F.sum(F.col("is_new").cast("long"))
+    out = flags.rollup(source).agg(F.grouping_id().alias("_all"), new.alias("new_rows"), (F.sum("rows") - new).alias("skipped"))
+    out = out.select(F.when(F.col("_all") == 1, F.lit("ALL")).otherwise(F.col(source)).alias(source), "new_rows", "skipped", "_all")
+    if stored is not None:
+        added = F.max(F.when(F.col("_all") == 1, F.col("new_rows"))).over(Window.partitionBy())  # over the report's rows only
+        out = out.withColumn("table_total", stored + added)
+    return out.drop("_all")
+
+
 def extract_report(terms: DataFrame, postings: DataFrame) -> DataFrame:
     """K7: tag rows, postings, average tags per posting (denominator at least 1)."""
     rows = terms.select(F.count(F.lit(1))).scalar()
