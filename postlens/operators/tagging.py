@@ -43,15 +43,36 @@ class Term:
             body = f"(?<!{_W}){body}(?!{_W})"
         return flags + body
 
-    def guards(self) -> list[str]:
-        """Literals one of which every match contains; none if some alternative has no literal of two characters."""
+    def guards(self, fold: bool = True) -> list[str]:
+        """Literals one of which stands in every match's text, or in its ``folded`` text, with a space where a word must begin
+        or end; none if some alternative has no literal of two characters."""
+        mark = fold_marks if fold else str
         if self.stem is not None:
-            return [self.stem] if self.stem else []
-        stems = sorted({stem_of(a) for a in alternatives(self.pattern)})
-        if any(len(x) < 2 for x in stems):
+            return [mark(self.stem)] if self.stem else []
+        end = " " if self.bounded and fold else ""
+        stems = {stem_of(a) for a in alternatives(self.pattern)}
+        if any(len(x.replace(END, "")) < 2 for x in stems):
             return []
-        stems = stems if self.case_sensitive else sorted({x.lower() for x in stems})
-        return [x for x in stems if not any(y in x for y in stems if y != x)]  # a longer one says nothing more
+        stems = {mark(x.replace(END, end)) for x in stems}
+        stems = stems if self.case_sensitive else {x.lower() for x in stems}
+        return sorted(x for x in stems if not any(y in x for y in stems if y != x))  # a longer one says nothing more
+
+
+#: Vocabularies of this many terms are looked up in the folded text; for fewer, folding costs more than it saves.
+FOLD_FROM = 16
+#: Stands for an alternative's beginning and end in ``stem_of``.
+END = "\0"
+#: The four letters beyond ASCII that a case-insensitive regex takes for ASCII ones, and lower-casing alone may not.
+_ODD, _EVEN = "\u017f\u212a\u0130\u0131", "skii"
+
+
+def fold_marks(x: str) -> str:
+    return re.sub(r"[^\w]", " ", x)
+
+
+def folded(text: Column) -> Column:
+    """A text for guards: everything that is no word character is one space, and there is one at either end."""
+    return F.concat(F.lit(" "), F.regexp_replace(text, r"[^\p{L}\p{N}_]", " "), F.lit(" "))
 
 
 def _pieces(pattern: str) -> list[str]:
@@ -98,8 +119,9 @@ def alternatives(pattern: str) -> list[str]:
 
 
 def stem_of(alternative: str) -> str:
-    """The longest literal that every match of an alternative contains; what may be missing or differ ends a literal."""
-    runs = [""]
+    """The longest literal that every match of an alternative contains, with END where it begins or ends the alternative; what
+    may be missing or differ ends a literal."""
+    runs = [END]
     for p in _pieces(alternative):
         plain = p[-1] if re.fullmatch(r"\\[^A-Za-z0-9]", p) else p
         if p.startswith("(?=") or p.startswith("(?!") or p.startswith("(?<") or p in (r"\b", "^", "$"):
@@ -111,6 +133,7 @@ def stem_of(alternative: str) -> str:
             runs.append("")
         else:
             runs.append("")
+    runs[-1] += END
     return max(runs, key=len)
 
 
@@ -129,23 +152,24 @@ def text_of(cols: Sequence[str | Column]) -> Column:
     return parts[0] if len(parts) == 1 else F.concat_ws("\n", *parts)
 
 
-def term_hits(text: Column, vocab: Sequence[Term]) -> Column:
-    """array<string> of matching terms, sorted (code-point order), presence only."""
-    # the four letters beyond ASCII that a case-insensitive regex takes for ASCII ones, and lower-casing alone may not
-    low = F.lower(F.translate(text, "\u017f\u212a\u0130\u0131", "skii"))
+def tag_terms(df: DataFrame, cols: Sequence[str | Column], vocab: Sequence[Term], out: str = "terms") -> DataFrame:
+    """Add ``out: array<string>`` with every vocabulary term found in the concatenated text columns, sorted (code-point
+    order), presence only.
+
+    The text is folded in projections of their own, which the optimizer keeps apart since they are used more than once: once
+    a row, whatever the vocabulary's size."""
+    fold = len(vocab) >= FOLD_FROM
+    d = df.withColumn("_text", text_of(cols))
+    d = d.withColumn("_plain", folded(F.col("_text")) if fold else F.col("_text"))
+    d = d.withColumn("_low", F.lower(F.translate("_plain", _ODD, _EVEN)))
     hits = []
     for t in vocab:
-        cond = text.rlike(t.regex())
-        guards = [(text if t.case_sensitive else low).contains(g) for g in t.guards()]
+        cond = F.col("_text").rlike(t.regex())
+        guards = [F.col("_plain" if t.case_sensitive else "_low").contains(g) for g in t.guards(fold)]
         if guards:
             cond = reduce(lambda a, b: a | b, guards) & cond
         hits.append(F.when(cond, F.lit(t.term)))
-    return F.array_sort(F.array_compact(F.array(*hits)))
-
-
-def tag_terms(df: DataFrame, cols: Sequence[str | Column], vocab: Sequence[Term], out: str = "terms") -> DataFrame:
-    """Add ``out: array<string>`` with every vocabulary term found in the concatenated text columns."""
-    return df.withColumn(out, term_hits(text_of(cols), vocab))
+    return d.withColumn(out, F.array_sort(F.array_compact(F.array(*hits)))).drop("_text", "_plain", "_low")
 
 
 def explode_terms(df: DataFrame, key: str, terms: str = "terms", method: str = "rules",
