@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.scalars import col_of, explode_present, midpoint, regex_quote, round_even
-from postlens.operators.median import exact_median
+from postlens.operators.median import bracket, exact_median
 from postlens.operators.ranking import with_rank
 
 
@@ -274,23 +274,61 @@ def segments(postings: DataFrame, regions: Sequence[tuple[str, Sequence[str]]],
     return explode_present(postings, pairs, "_s", key, *carry).select(key, *carry, "_s.dim", "_s.segment")
 
 
+def flagged_terms(postings: DataFrame, terms: DataFrame, key: str = "job_id", term: str = "skill") -> DataFrame:
+    """Postings left-joined to their terms: a row for each term, or one row. ``_linked`` tells whether the row has a bridge
+    row; ``_first`` is true on exactly one row of each posting, so sums over it count postings."""
+    w = Window.partitionBy(key).orderBy(term)
+    bridge = terms.select(key, term, (F.row_number().over(w) == 1).alias("_one"))
+    return (postings.join(bridge, key, "left").withColumn("_linked", F.col("_one").isNotNull())
+            .withColumn("_first", F.coalesce("_one", F.lit(True))).drop("_one"))
+
+
+def group_profile(rows: DataFrame, by: Sequence[str], value: str, term: str, k: int, approx: bool = False) -> DataFrame:
+    """Statistics of groups of ``flagged_terms`` rows: (by..., n postings, n_with of them that have a term, median of
+    ``value``, tops: array of the ``k`` most frequent terms as (rk, term, cnt), ties by term).
+
+    One grouping-sets pass counts terms and values together, and one aggregate gives sizes and brackets for the exact median
+    (as in ``exact_median``). From there on terms and values are rows of one table: one window ranks both. A group of NULLs
+    is a group; NULL values count in ``n`` alone."""
+    by = list(by)
+    rows = rows.select(*by, F.col(value).cast("double").alias("_v"), F.col(term).alias("_term"), "_linked", "_first")
+    own = F.when(F.col("_first"), F.col("_v"))
+    sizes = rows.groupBy(*by).agg(
+        F.count_if("_first").alias("n"), F.count_if(F.col("_first") & F.col("_linked")).alias("n_with"), F.count(own).alias("_n"),
+        (F.percentile_approx(own, 0.5, 100000) if approx else F.lit(None).cast("double")).alias("_approx"), bracket(own).alias("_b"))
+    cols = [F.col(c) for c in by]
+    both = rows.groupingSets([[*cols, F.col("_term")], [*cols, F.col("_v")]], *cols, F.col("_term"), F.col("_v")).agg(
+        F.grouping("_term").alias("_values"), F.count_if("_linked").alias("_cnt"), F.count_if("_first").alias("_c"))
+    both = both.where("_values = 1 OR _cnt > 0")
+    on = F.lit(True)
+    for c in by:
+        on = on & both[c].eqNullSafe(sizes[c])
+    both = both.join(sizes, on).select(
+        *[both[c] for c in by], "n", "n_with", "_n", "_approx", "_values", "_term", "_v", F.when(F.col("_values") == 0, F.col("_cnt")).alias("_cnt"),
+        F.when(F.col("_values") == 1, F.col("_c")).alias("_c"), F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
+    inside = both.where(F.coalesce(F.col("_v") <= F.col("_hi"), F.lit(True))).withColumn("_in", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")))
+    inside = inside.groupBy(*by, "n", "n_with", "_n", "_approx", "_values", "_term", "_in").agg(
+        F.max("_cnt").alias("_cnt"), F.sum(F.when(F.col("_v").isNotNull(), F.col("_c"))).alias("_c"))
+    order = Window.partitionBy(*by, "_values").orderBy(F.col("_cnt").desc(), "_term", F.col("_in").asc_nulls_first())
+    placed = inside.withColumn("_rk", F.row_number().over(order).cast("long")).withColumn(
+        "_end", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    def at(rank: str) -> Column:
+        return F.min(F.when(F.col("_end") > F.expr(rank), F.col("_in")))
+
+    listed = F.when((F.col("_values") == 0) & (F.col("_rk") <= k), F.struct(F.col("_rk").alias("rk"), F.col("_term").alias("term"), F.col("_cnt").alias("cnt")))
+    med = F.first("_approx") if approx else (at("(_n - 1) div 2") + at("_n div 2")) / 2
+    return placed.groupBy(*by, "n", "n_with").agg(med.alias("median"), F.array_sort(F.collect_list(listed)).alias("tops"))
+
+
 def segment_profile(postings: DataFrame, terms: DataFrame, regions: Sequence[tuple[str, Sequence[str]]],
                     levels: Sequence[str], min_n: int = 5, k: int = 6, key: str = "job_id", term: str = "skill",
                     approx: bool = False) -> DataFrame:
     """Per segment of every dimension: size, median midpoint, top-k terms with % of the segment's postings
-    that have at least one term. One grouped pass per statistic instead of a loop over segments."""
-    sm = segments(postings.withColumn("mid", midpoint()), regions, levels, key, carry=["mid"])
-    # postings with at least one term: a flag per posting (distinct keys of the bridge), counted in the same pass as
-    # the segment size, instead of a distinct count over the larger segment x term join
-    has = terms.select(key).distinct().withColumn("_has", F.lit(True))
-    counts = sm.join(has, key, "left").groupBy("dim", "segment").agg(
-        F.count(F.lit(1)).alias("n"), F.count("_has").alias("n_with"))
-    med = grouped_median(sm, ["dim", "segment"], "mid", "median_mid", approx)
-    stats = counts.where(F.col("n") >= min_n).join(med, ["dim", "segment"], "left").select(
-        "dim", "segment", "n", "n_with", round_even("median_mid", 2).alias("median_mid"))
-    st = sm.select(key, "dim", "segment").join(terms.select(key, term), key)
-    per_term = st.groupBy("dim", "segment", term).agg(F.count(F.lit(1)).alias("cnt"))
-    top = topk_per_group(per_term, ["dim", "segment"], [F.col("cnt").desc(), F.col(term)], k)
-    prof = stats.join(top, ["dim", "segment"], "left")
-    return prof.select("dim", "segment", "n", "median_mid", "rk", term,
-                       round_even(F.col("cnt") * 100.0 / F.col("n_with"), 1).alias("pct"))
+    that have at least one term, from one ``group_profile`` instead of a loop over segments."""
+    facts = flagged_terms(postings.withColumn("mid", midpoint()), terms, key, term)
+    rows = segments(facts, regions, levels, key, carry=["mid", term, "_linked", "_first"])
+    prof = group_profile(rows, ["dim", "segment"], "mid", term, k, approx).where(F.col("n") >= min_n)
+    prof = prof.select("dim", "segment", "n", "n_with", "median", F.explode_outer("tops").alias("t"))
+    return prof.select("dim", "segment", "n", round_even("median", 2).alias("median_mid"), "t.rk", F.col("t.term").alias(term),
+                       round_even(F.col("t.cnt") * 100.0 / F.col("n_with"), 1).alias("pct"))

@@ -18,6 +18,12 @@ _KEY = "_grp"
 ACCURACY = 4_000
 
 
+def bracket(value: str | Column) -> Column:
+    """Aggregate: two values of a group that surely enclose its middle ranks."""
+    reach = 2 / ACCURACY
+    return F.percentile_approx(value, [0.5 - reach, 0.5 + reach], ACCURACY)
+
+
 def exact_median(df: DataFrame, by: Sequence[str], value: str | Column, out: str = "median",
                  count_col: str | None = None) -> DataFrame:
     """(by..., out[, count_col]) with the interpolated median of ``value`` per group; NULL values are ignored, groups
@@ -30,8 +36,7 @@ def exact_median(df: DataFrame, by: Sequence[str], value: str | Column, out: str
         src = src.withColumn(_KEY, F.lit(0))
     src = src.where(F.col("_v").isNotNull())
     counts = src.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    reach = 2 / ACCURACY
-    state = src.groupBy(*keys).agg(F.percentile_approx("_v", [0.5 - reach, 0.5 + reach], ACCURACY).alias("_b"), F.count(F.lit(1)).alias("_n"))
+    state = src.groupBy(*keys).agg(bracket("_v").alias("_b"), F.count(F.lit(1)).alias("_n"))
     if by:
         on = counts[keys[0]].eqNullSafe(state[keys[0]])
         for k in keys[1:]:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from postlens.functions.scalars import LEVELS, explode_present, midpoint, round_even
-from postlens.operators.market import grouped_median, region_last, scalar_median, topk_per_group
+from postlens.operators.market import flagged_terms, group_profile, region_last, scalar_median, topk_per_group
 from postlens.operators.ranking import with_rank
 from postlens.operators.tagging import tokenize
 from postlens.session import checkpoint_dir, scratch_path
@@ -263,30 +263,22 @@ def cluster_profile(members: DataFrame, terms: DataFrame, k_top: int = 6, key: s
     Labels: two most frequent title words (ties by word), title-cased; a label that is a prefix of an earlier
     cluster's label (cluster-id order) gets ' · ' + its first top term not already in the label, or 'misc'.
     The relabelling window runs over one row per cluster."""
-    mids = members.select(cluster, F.when(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull(),
-                                          midpoint()).alias("_mid"))
-    med = grouped_median(mids, [cluster], "_mid", "_med")
-    size = members.groupBy(cluster).agg(F.count(F.lit(1)).alias("size")).join(med, cluster, "left").select(
-        cluster, "size", round_even("_med", 0).cast("long").alias("median_salary"))
-    mt = terms.join(members.select(key, cluster), key)
-    per = mt.groupBy(cluster, term).agg(F.count(F.lit(1)).alias("cnt"))
-    top = topk_per_group(per, [cluster], [F.col("cnt").desc(), F.col(term)], k_top)
+    mids = members.select(key, cluster, F.when(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull(),
+                                               midpoint()).alias("_mid"))
+    stats = group_profile(flagged_terms(mids, terms, key, term), [cluster], "_mid", term, k_top)
     words = (explode_present(members, F.regexp_extract_all(F.lower("title"), F.lit("([a-z]+)"), 1), "w", cluster)
              .where((F.length("w") > 1) & ~F.col("w").isin(list(stop))))
     wc = words.groupBy(cluster, "w").agg(F.count(F.lit(1)).alias("c"))
     top2 = topk_per_group(wc, [cluster], [F.col("c").desc(), F.col("w")], 2, "wr")
     lab = top2.groupBy(cluster).agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("wr", "w"))), lambda s: F.initcap(s["w"])), " ").alias("base"))
-    skills = top.groupBy(cluster).agg(F.transform(F.array_sort(F.collect_list(F.struct("rk", term))),
-                                                  lambda s: s[term]).alias("tops"))
-    lab = size.select(cluster).join(lab, cluster, "left").join(skills, cluster, "left").withColumn(
-        "base", F.coalesce("base", F.lit("")))
+    lab = stats.join(lab, cluster, "left").withColumn("base", F.coalesce("base", F.lit("")))
     w = Window.orderBy(cluster).rowsBetween(Window.unboundedPreceding, -1)
     lab = lab.withColumn("_prev", F.collect_list("base").over(w))
     clash = F.exists("_prev", lambda p: p.startswith(F.col("base")))
-    extra = F.coalesce(F.try_element_at(F.filter(F.coalesce("tops", F.array().cast("array<string>")),
-                                             lambda s: ~F.lower(F.col("base")).contains(F.lower(s))), F.lit(1)), F.lit("misc"))
-    lab = lab.select(cluster, F.when(clash, F.concat("base", F.lit(" · "), extra)).otherwise(F.col("base")).alias("label"))
-    prof = size.join(lab, cluster).join(top, cluster, "left")
-    return prof.select(cluster, "label", "size", "median_salary", "rk", term,
-                       round_even(F.col("cnt") * 100.0 / F.col("size"), 0).cast("long").alias("share"))
+    extra = F.coalesce(F.try_element_at(F.filter(F.transform("tops", lambda s: s["term"]),
+                                                 lambda s: ~F.lower(F.col("base")).contains(F.lower(s))), F.lit(1)), F.lit("misc"))
+    label = F.when(clash, F.concat("base", F.lit(" · "), extra)).otherwise(F.col("base"))
+    prof = lab.select(cluster, label.alias("label"), F.col("n").alias("size"), "median", F.explode_outer("tops").alias("t"))
+    return prof.select(cluster, "label", "size", round_even("median", 0).cast("long").alias("median_salary"), "t.rk", F.col("t.term").alias(term),
+                       round_even(F.col("t.cnt") * 100.0 / F.col("size"), 0).cast("long").alias("share"))
