@@ -43,9 +43,10 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[str]) -> Column:
 
 
 def _grams(url: str = "text") -> Column:
-    """The runs of ORDER + 1 characters that end at each character; the start and the end of a url are characters too."""
+    """The runs of ORDER + 1 characters that end at each character; the start and the end of a url are characters too. One
+    regular expression looks ahead at each character, so the time is linear in the url's length."""
     padded = F.concat(F.lit("\u0002" * ORDER), F.col(url), F.lit("\u0003"))
-    return F.transform(F.sequence(F.lit(1), F.length(url) + 1), lambda i: F.substring(padded, i, ORDER + 1))
+    return F.regexp_extract_all(padded, F.lit(rf"(?s)(?=(.{{{ORDER + 1}}}))."), 1)
 
 
 def gram_ratios(spark: SparkSession, grams: DataFrame) -> DataFrame:

@@ -156,12 +156,13 @@ def test_quotation_linking(spark):
     assert len(got) == len(rows)
     see = lambda *k: (got[k].thread, got[k].parent_turn, got[k].depth, got[k].n_linked)
     assert see("c", 0, 0, "Hello there\nHow are you?") == (0, None, 0, 0)
-    assert see("c", 1, 1, "Fine.") == (0, 0, 1, 2)
+    assert see("c", 1, 1, "Fine.") == (0, 0, 1, 1)
+    assert see("c", 1, 1, "") == (0, 0, 1, 1)
     assert see("c", 2, 0, "Unrelated") == (2, None, 0, 0)
     assert see("c", 3, 2, "Good") == (0, 1, 2, 2)
-    assert see("c", 4, 1, "Hm") == (4, None, 0, 0)
-    assert see("d", 0, 1, "") == (0, None, 0, 0)
-    assert got["d", 0, 1, ""].chat == "<|unknown|>\n\n<|end|>\n"
+    assert see("c", 4, 1, "> nobody said\nHm") == (4, None, 0, 0)  # no text is lost
+    assert see("d", 0, 1, "> Fine.") == (0, None, 0, 0)
+    assert got["d", 0, 1, "> Fine."].chat == "<|unknown|>\n> Fine.\n<|end|>\n"
     assert see("d", 1, 0, "") == (1, None, 0, 0)
     assert chat_format.chat_messages(spark, df.where("turn > 99")).count() == 0
 
