@@ -1,39 +1,41 @@
 """Operator 6, embedding near-dedup by a forest of random-projection trees with spill overlap.
 
-Vectors are compared only inside their label. Equal vectors are one node, weighted by its rows. Each tree of the forest
+Vectors are compared only inside their label. Equal vectors are one node, weighted by its rows. Each of the ``TREES`` trees
 splits a label's unit vectors again and again at the median along a random direction; what lies within ``SPILL`` standard
 deviations of a wanted pair's own spread around the split goes to both sides. A node is not split where that would not
 save comparisons: in a group of near copies most vectors lie that close to every median. Such a node is a leaf, however
-large; if it is a tree's root, the label is compared as a whole. Directions come from the seed, medians from ``SAMPLE`` vectors of a label (smallest hashes); every vector is entered in every tree. The tree's depth follows the
-label's size, so leaves of spread-out vectors stay near ``LEAF`` however many there are. Medians are found by Spark, a label a
-task; they (some KB a label) and nothing else go through the driver, for the ``PLANTED`` largest labels that exceed a
-leaf. A label without trees is one leaf.
+large; if it is a tree's root, the label is compared as a whole.
 
-A node carries the list of all its leaves, in all trees. Inside a leaf all pairs are compared, in blocks, by cosine in
+Trees grow in tiers, so that they get as deep as a label is large. A tier takes every leaf of more than ``SPLIT`` vectors
+(in the first tier: every label of more than ``LEAF``), finds medians for up to log2(SAMPLE / 4) levels from about ``SAMPLE``
+of its vectors (smallest hashes), and sends all its vectors down; leaves that are still too large wait for the next tier, with
+directions of their own. Leaves of spread-out vectors hold ``SPLIT`` at most, however many vectors there are. The
+medians of a leaf are found in one task and meet its vectors in pieces of about ``PIECE``; nothing but the question whether a
+leaf is still too large goes through the driver, and there is no bound on the number of labels.
+
+A node has the list of all its leaves, in all trees. Inside a leaf all pairs are compared, in blocks, by cosine in
 double precision; a linked pair counts in the first leaf that both share, so each pair counts once, and only sums by
 node and a spanning set of links leave the task. Dense clusters make large leaves: these are dealt as pairs of blocks of
 ``BLOCK`` rows to several tasks.
 
 A pair at cosine 0.98 among spread-out vectors (64 components) is parted at a level with a probability of about 0.0014, so
-it misses a tree of depth 7 with about 0.01 and all ``TREES`` with about 1e-12. Where a median cuts through the middle of a
-group whose pairs lie around the limit, that level parts about 0.012 of them; a few such cuts, until the group fills the
-node and splitting stops, leave about 1e-8 over all trees. These are estimates, for normally spread vectors.
+it misses a tree of depth 7 with about 0.01 and all ``TREES`` with about 1e-12 (depth 20: 0.03 and 5e-10). Where a median cuts
+through the middle of a group whose pairs lie around the limit, that level parts about 0.012 of them; a few such cuts, until the
+group fills the node and splitting stops, leave about 1e-8 over all trees. These are estimates, for normally spread vectors.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm.common import components, kept_table
+from postlens.llm.common import U64, components, kept_table, mix, signed
 
-TREES, LEAF, SAMPLE, SPILL, BLOCK = 6, 96, 4096, 1.0, 384
-PLANTED = 4096
+TREES, LEAF, SPLIT, SAMPLE, PIECE, SPILL, BLOCK = 6, 96, 1024, 4096, 8192, 1.0, 384
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -43,7 +45,12 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def directions(depth: int, dim: int, seed: int) -> np.ndarray:
+def unit_rows(column: pa.ChunkedArray) -> np.ndarray:
+    """A column of lists of one length as unit vectors."""
+    return unit(np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]).reshape(len(column), -1))
+
+
+def directions(depth: int, dim: int, seed: list[int]) -> np.ndarray:
     """One unit direction a level."""
     ways = np.random.default_rng(seed).standard_normal((depth, dim))
     return ways / np.sqrt((ways * ways).sum(axis=1, keepdims=True))
@@ -72,15 +79,26 @@ def _down(along: np.ndarray, row: np.ndarray, at: np.ndarray, medians: np.ndarra
     return np.concatenate([row[left], row[right], row[stay]]), np.concatenate([2 * at[left], 2 * at[right] + 1, at[stay]])
 
 
-def _plant(margin: float, seed: int):
-    schema = pa.schema([("kind", pa.int64()), ("dim", pa.int32()), ("depth", pa.int32()), ("medians", pa.list_(pa.list_(pa.float64())))])
+def _seeds(seed: int, tier: int, leaf: int) -> list[list[int]]:
+    """A seed for each tree that a leaf grows: ``TREES`` from a label, one from a leaf of an earlier tier."""
+    return [[seed, tier, t, leaf & 0xFFFFFFFFFFFFFFFF] for t in range(1 if tier else TREES)]
+
+
+def _plant(margin: float, seed: int, tier: int):
+    """From the sample of a leaf the medians of its trees; none if one of them keeps the leaf whole."""
+    schema = pa.schema([("kind", pa.int64()), ("leaf", pa.int64()), ("n", pa.int64()), ("medians", pa.list_(pa.list_(pa.float64())))])
+    deepest = int(math.log2(SAMPLE / 4))
 
     def run(table: pa.Table) -> pa.Table:
-        kind, dim, depth = (table.column(c)[0].as_py() for c in ("kind", "dim", "depth"))
-        x = unit(np.array(table.column("embedding").to_pylist(), np.float64))
-        medians = [grow(x, directions(depth, dim, seed + t), margin / math.sqrt(dim)).tolist() for t in range(TREES)]
-        medians = next(([m] for m in medians if math.isnan(m[1])), medians)  # one leaf holds the whole label
-        return pa.table([[kind], [dim], [depth], [medians]], schema=schema)
+        kind, leaf, n = (table.column(c)[0].as_py() for c in ("kind", "leaf", "n"))
+        x = unit_rows(table.column("embedding"))
+        dim, depth = x.shape[1], min(math.ceil(math.log2(n / LEAF)), deepest)
+        medians = []
+        for s in _seeds(seed, tier, leaf):
+            medians.append(grow(x, directions(depth, dim, s), margin / math.sqrt(dim)))
+            if math.isnan(medians[-1][1]):
+                return schema.empty_table()
+        return pa.table([[kind], [leaf], [n], [[m.tolist() for m in medians]]], schema=schema)
 
     return run
 
@@ -95,39 +113,64 @@ def leaves(x: np.ndarray, ways: np.ndarray, medians: np.ndarray, margin: float)
     return row, at
 
 
-def _enter(forest, margin: float, seed: int):
-    schema = pa.schema([("node", pa.int64()), ("weight", pa.int64()), ("v", pa.binary()), ("leaves", pa.list_(pa.int64()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = forest.value
-        for batch in batches:
-            kinds = batch.column("kind").to_numpy()
-            raw = [np.array(x, "<f8").tobytes() for x in batch.column("embedding").to_pylist()]
-            out: list[list[int]] = [[(1 << 62) | (int(k) & ((1 << 62) - 1))] for k in kinds]
-            for kind in set(kinds.tolist()) & trees.keys():
-                number, dim, medians = trees[kind]
-                own = np.flatnonzero(kinds == kind)
-                x = unit(np.frombuffer(b"".join(raw[i] for i in own), "<f8").reshape(len(own), dim))
-                for i in own:
-                    out[i] = []
-                for t, median in enumerate(medians):
-                    depth = len(median).bit_length() - 1
-                    for row, leaf in zip(*leaves(x, directions(depth, dim, seed + t), median, margin / math.sqrt(dim))):
-                        out[own[row]].append((number * TREES + t) << 40 | int(leaf))
-            lists = pa.array([sorted(x) for x in out], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("weight"), pa.array(raw, pa.binary()), lists], schema=schema)
+def _enter(margin: float, seed: int, tier: int):
+    """A piece of a leaf's vectors meets the leaf's medians: the leaves below that each vector reaches."""
+    schema = pa.schema([("kind", pa.int64()), ("node", pa.int64()), ("leaf", pa.int64())])
+
+    def run(key: tuple, vectors: pa.Table, trees: pa.Table) -> pa.Table:
+        if not len(vectors) or not len(trees):
+            return schema.empty_table()
+        kind, leaf, _ = (k.as_py() for k in key)
+        x, node = unit_rows(vectors.column("embedding")), vectors.column("node").to_numpy()
+        base = mix(np.array([leaf], np.int64).view(U64))
+        nodes, names = [], []
+        for t, (s, median) in enumerate(zip(_seeds(seed, tier, leaf), trees.column("medians")[0].as_py())):
+            ways = directions(len(median).bit_length() - 1, x.shape[1], s)
+            row, at = leaves(x, ways, np.array(median), margin / math.sqrt(x.shape[1]))
+            nodes.append(node[row])
+            names.append(signed(mix(base + U64(t << 40) + at.astype(U64))))
+        nodes = np.concatenate(nodes)
+        return pa.table([np.full(len(nodes), kind), nodes, np.concatenate(names)], schema=schema)
 
     return run
 
 
+def forest(spark: SparkSession, nodes: DataFrame, margin: float, seed: int) -> DataFrame:
+    """(kind, node, leaf): the leaves of each node (kind, node, embedding). A kind without trees is one leaf."""
+    held, done, tier = nodes.select("kind", "node", F.col("kind").alias("leaf")), [], 0
+    while True:
+        large = held.groupBy("kind", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > (SPLIT if tier else LEAF))
+        large = kept_table(spark, large, "large")
+        if large.limit(1).count() == 0:
+            break
+        vectors = held.join(large, ["kind", "leaf"]).join(nodes.select("node", "embedding"), "node")
+        vectors = kept_table(spark, vectors, "vectors") if tier else nodes.withColumn("leaf", F.col("kind")).join(large, ["kind", "leaf"])
+        drawn = F.shiftrightunsigned(F.xxhash64("node", F.lit(seed + tier)), 11) / float(1 << 53) < SAMPLE / F.col("n")
+        trees = vectors.where(drawn).select("kind", "leaf", "n", "embedding").groupBy("kind", "leaf").applyInArrow(
+            _plant(margin, seed, tier), "kind long, leaf long, n long, medians array<array<double>>")
+        trees = kept_table(spark, trees, "trees")
+        split = trees.select("kind", "leaf")
+        done.append(held.join(split, ["kind", "leaf"], "left_anti"))
+        pieces = F.ceil(F.col("n") / PIECE)
+        trees = trees.select("kind", "leaf", "medians", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("piece"))
+        vectors = vectors.join(split, ["kind", "leaf"], "left_semi").select(
+            "kind", "leaf", "node", "embedding", F.pmod(F.xxhash64("node"), pieces).alias("piece"))
+        by = ["kind", "leaf", "piece"]
+        held = vectors.groupBy(*by).cogroup(trees.groupBy(*by)).applyInArrow(_enter(margin, seed, tier), "kind long, node long, leaf long")
+        held, tier = kept_table(spark, held, "held"), tier + 1
+    for more in done:
+        held = held.unionByName(more)
+    return held
+
+
 def _compare(least: float):
     schema = pa.schema([("node", pa.int64()), ("other", pa.int64()), ("n", pa.int64())])
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        leaf, i, j = (k.as_py() for k in key)
+        _, leaf, i, j = (k.as_py() for k in key)
         node, weight = table.column("node").to_numpy(), table.column("weight").to_numpy()
         block = table.column("block").to_numpy()
-        x = unit(np.frombuffer(b"".join(table.column("v").to_pylist()), "<f8").reshape(len(node), -1))
+        x = unit_rows(table.column("embedding"))
         lists = table.column("leaves").to_pylist()
         earlier = [[t for t in own if t < leaf] for own in lists]
         names = {t: k for k, t in enumerate(sorted({t for own in earlier for t in own}))}
@@ -176,7 +219,9 @@ def embedding_groups(spark: SparkSession, vectors: DataFrame, least: float = 0.9
     nothing (n_links 0, a component of their own): a null label; an embedding that is null, empty, all zero, or holds a
     null, NaN or infinite component; vectors of different lengths with each other. Rows of equal vec_id are rows of their
     own; a null vec_id counts as larger than any other. Other columns are ignored."""
-    given = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), "label")
+    kept = vectors.schema["embedding"].dataType.simpleString()
+    kept = kept if kept == "array<float>" else "array<double>"  # half the bytes to shuffle; widened before any sum
+    given = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kept).alias("embedding"), "label")
     usable = (F.col("label").isNotNull() & F.coalesce(F.size("embedding") > 0, F.lit(False))
               & F.coalesce(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
               & F.coalesce(F.exists("embedding", lambda x: x != 0), F.lit(False)))
@@ -184,26 +229,18 @@ def embedding_groups(spark: SparkSession, vectors: DataFrame, least: float = 0.9
 
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.first("label").alias("label"), F.count("*").alias("weight"),
                                                                F.min("vec_id").alias("low"), F.first("embedding").alias("embedding"))
-    dim = F.size("embedding")
-    nodes = kept_table(spark, nodes.withColumn("kind", F.xxhash64("label", dim)), "vectors")
-    kinds = nodes.groupBy("kind").agg(F.count("*").alias("n")).where(F.col("n") > LEAF).orderBy(F.desc("n"), "kind").limit(PLANTED)
-    # the sample's size bounds the depth too: a label that needs more has larger leaves, which are dealt in blocks
-    depth = F.least(F.ceil(F.log2(F.col("n") / LEAF)), F.lit(int(math.log2(SAMPLE / 4)))).cast("int")
-    drawn = F.shiftrightunsigned(F.xxhash64("node", F.lit(seed)), 11) / float(1 << 53) < SAMPLE / F.col("n")
-    sample = nodes.join(F.broadcast(kinds), "kind").where(drawn).select("kind", dim.alias("dim"), depth.alias("depth"), "embedding")
+    nodes = kept_table(spark, nodes.withColumn("kind", F.xxhash64("label", F.size("embedding"))), "vectors")
     margin = SPILL * math.sqrt(2 - 2 * least)  # unit vectors at the limit lie this far apart, but for SPILL
-    planted = sample.groupBy("kind").applyInArrow(_plant(margin, seed), "kind long, dim int, depth int, medians array<array<double>>").collect()
-    forest = {r["kind"]: (i, r["dim"], [np.array(m) for m in r["medians"]]) for i, r in enumerate(sorted(planted))}
-    entered = nodes.select("node", "kind", "weight", "embedding").mapInArrow(
-        _enter(spark.sparkContext.broadcast(forest), margin, seed), "node long, weight long, v binary, leaves array<long>")
-    entered = kept_table(spark, entered, "entered")
-    placed = entered.select("node", "weight", "v", "leaves", F.explode("leaves").alias("leaf"))
-    large = entered.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    placed = placed.join(large, "leaf").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    last = F.col("blocks") - 1
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    placed = placed.select("leaf", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "weight", "v", "leaves")
-    found = kept_table(spark, placed.groupBy("leaf", "i", "j").applyInArrow(_compare(least), "node long, other long, n long"), "found")
+    entered = kept_table(spark, forest(spark, nodes, margin, seed), "entered")
+    lists = entered.groupBy("node").agg(F.array_sort(F.collect_set("leaf")).alias("leaves"))
+    placed = nodes.select("node", "kind", "weight", "embedding").join(lists, "node").withColumn("leaf", F.explode("leaves"))
+    large = entered.groupBy("kind", "leaf").agg(F.ceil(F.count("*") / BLOCK).alias("n")).where("n > 1")
+    placed = placed.join(large, ["kind", "leaf"], "left").withColumn("blocks", F.coalesce("n", F.lit(1).cast("long")))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    placed = placed.select("kind", "leaf", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                           "block", "node", "weight", "embedding", "leaves")
+    found = kept_table(spark, placed.groupBy("kind", "leaf", "i", "j").applyInArrow(_compare(least), "node long, other long, n long"), "found")
     counts = found.where("other IS NULL").groupBy("node").agg(F.sum("n").alias("n"))
     labels = components(spark, found.where("other IS NOT NULL").select(F.col("node").alias("u"), F.col("other").alias("v")))
     named = nodes.select("node", "low", "weight").join(labels, "node", "left").withColumn("component", F.coalesce("label", "node"))

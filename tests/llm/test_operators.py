@@ -239,6 +239,25 @@ def test_embeddings_large_group(spark):
     assert got.component_id[got.index < 3000].eq(0).all() and got.kept.sum() == 6001
 
 
+def test_embeddings_tiers(spark, monkeypatch):
+    for name, value in (("LEAF", 40), ("SPLIT", 90), ("SAMPLE", 64), ("PIECE", 500)):  # four levels a tier
+        monkeypatch.setattr(embedding_dedup, name, value)
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((6000, 32))
+    x[3000:4500] = x[:1500] + rng.standard_normal((1500, 32)) * 0.15
+    x = x.astype(np.float32)
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(x), pa.list_(pa.float32())), "label": np.ones(len(x), np.int32)}))
+    nodes = df.selectExpr("vec_id AS node", "7L AS kind", "embedding")
+    margin = embedding_dedup.SPILL * math.sqrt(2 - 2 * 0.98)
+    sizes = embedding_dedup.forest(spark, nodes, margin, 7).groupBy("leaf").count().toPandas()
+    assert sizes["count"].max() <= 90 and len(sizes) > 600  # 16 leaves a tree at most in a single tier
+    got = embedding_dedup.embedding_groups(spark, df).toPandas().set_index("vec_id").sort_index()
+    x = x.astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.98).sum(axis=1) - 1
+    assert 500 < want.sum() < 3000 and (got.n_links.to_numpy() == want).all()
+
+
 # 7 -------------------------------------------------------------------------------------------------------------------
 def plain_removal(rows, size=100):
     """By (doc_id, CRC-32, text): bytes, removed bytes, spans, digest of the rest."""
