@@ -18,7 +18,7 @@ from postlens.streaming import jobs as R
 
 def _stream(spark, sf, name, max_files=None):
     schema = table(spark, sf, name).schema
-    return R.file_stream(spark, sf, schema, f"{name}.parquet", max_files)
+    return R.file_stream(spark, f"{sf.rstrip('/')}/{name}.parquet", schema, max_files)
 
 
 def _paths(spark, name):

@@ -66,6 +66,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, p = _at(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     """Make a folder; one that is there stays as it is."""
     fs, p = _at(spark, path)

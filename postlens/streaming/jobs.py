@@ -14,19 +14,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from postlens.operators.alerts import digest
+from postlens.session import is_file
 from postlens.sources.feeds import POSTING_DDL, FeedSpec, landed_feeds
 from postlens.sources.sinks import append_new, read_or_empty
 
 
-def file_stream(spark: SparkSession, folder: str, schema: StructType, glob: str | None = None,
-                max_files: int | None = None) -> DataFrame:
-    """A Parquet file stream over ``folder`` (optionally one file name pattern, e.g. 'events.parquet')."""
+def file_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
+    """A Parquet file stream over a table, be it a folder of part files or one file (e.g. '.../events.parquet').
+
+    A file stream reads folders only: of a single file it reads the folder around it, for files of that name."""
     r = spark.readStream.schema(schema)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(folder)
+    if not is_file(spark, path):
+        return r.parquet(path)
+    folder, name = path.rsplit("/", 1)
+    return r.option("pathGlobFilter", name).parquet(folder)
 
 
 def _run(writer, checkpoint: str) -> None:
