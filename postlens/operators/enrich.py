@@ -23,10 +23,23 @@ from postlens.sources.sinks import key_bucket, overwrite_buckets, read_or_empty,
 from postlens.sources.tables import scan_pending
 
 REPLY_SCHEMA = "skills array<string>, seniority string"
+#: One call of the model gets prompts of about so many characters, however long the texts are; a longer one goes alone.
+CALL_CHARS = 1 << 20
+
+
+def calls(batch: pd.DataFrame, chars: int = CALL_CHARS) -> Iterator[pd.DataFrame]:
+    """A batch in its order, cut into pieces whose prompts begin within ``chars`` characters of each other."""
+    size = batch["prompt"].map(lambda p: len(p) if isinstance(p, str) else 0).to_numpy(dtype="int64")
+    piece = (size.cumsum() - size) // chars
+    cuts = [0, *((piece[1:] != piece[:-1]).nonzero()[0] + 1), len(batch)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield batch.iloc[a:b].reset_index(drop=True)
 
 
 def ask(src: DataFrame, fn: Callable[[pd.Series], pd.Series]) -> DataFrame:
-    """(key, reply) for the rows of ``src`` (key, prompt). A batch that ``fn`` fails on is asked row by row, so that only the
+    """(key, reply) for the rows of ``src`` (key, prompt). A batch is asked in calls of about CALL_CHARS characters, so that what
+    a model makes of its texts doesn't grow with the batch. A call that ``fn`` fails on is asked row by row, so that only the
     rows that fail by themselves stay without a reply."""
 
     def one(prompt):
@@ -36,12 +49,13 @@ def ask(src: DataFrame, fn: Callable[[pd.Series], pd.Series]) -> DataFrame:
             return None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            try:
-                replies = list(fn(b["prompt"]))
-            except Exception:
-                replies = [one(p) for p in b["prompt"]]
-            yield pd.DataFrame({"key": b["key"], "reply": pd.Series(replies, index=b.index).astype("string")})
+        for batch in batches:
+            for b in calls(batch):
+                try:
+                    replies = list(fn(b["prompt"]))
+                except Exception:
+                    replies = [one(p) for p in b["prompt"]]
+                yield pd.DataFrame({"key": b["key"], "reply": pd.Series(replies, index=b.index).astype("string")})
 
     return src.mapInPandas(run, f"key {src.schema['key'].dataType.simpleString()}, reply string")
 

@@ -198,7 +198,7 @@ def q_tag_shipped(spark, sf):
 def stub_model(texts: pd.Series) -> pd.Series:
     """Deterministic stand-in for a hosted model: fenced JSON with the first words as skills; every 7th text gets a
     broken reply."""
-    words = texts.fillna("").str.split().str[:3]
+    words = texts.fillna("").str.split(n=3).str[:3]
     out = []
     for i, (t, w) in enumerate(zip(texts.fillna(""), words)):
         if len(t) % 7 == 0:

@@ -176,3 +176,21 @@ def test_artifact_absent_or_unreadable(spark):
     with pytest.raises(Exception):
         K.read_artifact(spark, folder(spark, "absent"), "k nothing")
     assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def test_calls_of_the_model_are_bounded_by_their_characters():
+    texts = ["a" * 60, None, "b" * 60, "", "c" * 250, "d", "e" * 99]
+    batch = pd.DataFrame({"key": range(len(texts)), "prompt": texts})
+    pieces = [list(p["key"]) for p in X.calls(batch, 100)]
+    assert pieces == [[0, 1, 2], [3, 4], [5, 6]]
+    assert [list(p["key"]) for p in X.calls(batch)] == [list(range(len(texts)))] and not list(X.calls(batch.iloc[:0]))
+    assert [len(p) for p in X.calls(pd.DataFrame({"key": [1, 2], "prompt": [None, None]}))] == [2]
+
+
+def test_long_texts_reach_the_model_in_several_calls(spark):
+    def longest(texts):
+        return pd.Series([json.dumps({"skills": [f"call {len(texts)}"], "seniority": "mid"})] * len(texts))
+
+    df = spark.range(12).select("id", F.repeat(F.lit("x y "), 1 << 17).alias("text")).coalesce(1)
+    ok, rejected = X.enrich(df, "id", "text", longest)
+    assert {(r.id, r.skills[0]) for r in ok.collect()} == {(i, "call 2") for i in range(12)} and rejected.isEmpty()
