@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from postlens.operators.tagging import tag_terms
 from postlens.plans.catalog_sql import TAG_SQL
 from postlens.plans.fixtures import DOC_VOCAB, JK_SQL, jobs_fx
 from postlens.plans.registry import query
-from postlens.session import checkpoint_dir, scratch_path
+from postlens.session import checkpoint_dir, folder_bytes, scratch_path
 from postlens.sources import feeds as FD
 from postlens.sources.tables import table
 from postlens.streaming import jobs as R
@@ -85,9 +86,18 @@ def q_stream_daily(spark, sf):
     return R.growth_from_daily(spark.read.parquet(out))
 
 
-def _land(pages, folder: str, delivery: int) -> None:
+#: Bytes of the source table that one landed file is made of, and the files of a delivery, which are so many times more for larger tables.
+FILE_BYTES, FILES = 32 << 20, 3
+
+
+def _land(pages, folder: str, delivery: int, parts: int = 1) -> None:
     """One delivery of payloads: JSON lines in several files below the feed's landing folder."""
-    pages.repartition(3).write.text(f"{folder}/delivery-{delivery}")
+    pages.repartition(FILES * parts).write.text(f"{folder}/delivery-{delivery}")
+
+
+def _parts(spark, sf, *names, file_bytes: int = FILE_BYTES) -> int:
+    """How many files stand for one of a small delivery, so that no task writes or reads a file that grows with its table."""
+    return max(1, math.ceil(max(folder_bytes(spark, f"{sf.rstrip('/')}/{n}.parquet") for n in names) / (FILES * file_bytes)))
 
 
 def _event_pages(events, suffix: str, empty_every: int | None):
@@ -121,18 +131,20 @@ SELECT 'feed_c', 'feed_c:' || doc_id, lang || CASE WHEN early THEN '-1' ELSE '-2
 WHERE regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '^\\s+|\\s+$', '', 'g') <> ''""")
 def q_stream_feeds(spark, sf):
     """Deliveries that repeat keys: the first lacks some and has empty descriptions, the second has all, the third, which comes in
-    a later run, none that is new. A micro-batch takes two files of a feed."""
+    a later run, none that is new. A micro-batch takes two of a feed's three files in a delivery, or that share of them where
+    larger tables land in more files."""
     out, ck = _paths(spark, "stream_feeds")
     base = out.rsplit("/", 1)[0]
     events, docs = table(spark, sf, "events"), table(spark, sf, "documents")
     a, c = f"{base}/landed-a", f"{base}/landed-c"
     landings = [(a, FD.feed_a()), (c, FD.feed_c(relevant=["-"], region=dict(words=["en", "es"], codes=[], marker=None))),
                 (f"{base}/landed-d", FD.feed_d())]
-    _land(_event_pages(events.where("event_id % 3 <> 0"), "-1", 5), a, 1)
-    _land(_document_pages(docs.where("doc_id % 4 = 1"), "-1"), c, 1)
-    _land(_event_pages(events, "-2", None), a, 2)
-    _land(_document_pages(docs, "-2"), c, 2)
-    R.stream_feeds(spark, landings, out, ck, max_files=2, buckets=8)
-    _land(_event_pages(events, "-3", None), a, 3)
-    stored = R.stream_feeds(spark, landings, out, ck, max_files=2, buckets=8)
+    parts = _parts(spark, sf, "events", "documents")
+    _land(_event_pages(events.where("event_id % 3 <> 0"), "-1", 5), a, 1, parts)
+    _land(_document_pages(docs.where("doc_id % 4 = 1"), "-1"), c, 1, parts)
+    _land(_event_pages(events, "-2", None), a, 2, parts)
+    _land(_document_pages(docs, "-2"), c, 2, parts)
+    R.stream_feeds(spark, landings, out, ck, max_files=2 * parts, buckets=8)
+    _land(_event_pages(events, "-3", None), a, 3, parts)
+    stored = R.stream_feeds(spark, landings, out, ck, max_files=2 * parts, buckets=8)
     return stored.select("source", "source_id", "title", "company", "location", "remote", "salary_min", "description", "posted_at")

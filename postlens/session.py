@@ -71,6 +71,12 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isFile()
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files in a folder."""
+    fs, p = _at(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     """Make a folder; one that is there stays as it is."""
     fs, p = _at(spark, path)
