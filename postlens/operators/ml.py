@@ -204,8 +204,9 @@ def tfidf(df: DataFrame, key: str, tokens: str, min_df: int = 5) -> DataFrame:
     # pruning would drop it here and the two uses of tf would no longer share the exchange above the tokenizer
     dfreq = tf.groupBy("token").agg(F.sum(F.least("tf", F.lit(1))).alias("df")).where(F.col("df") >= min_df)
     w = tf.join(dfreq, "token").withColumn("w", F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1))
-    norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") ** 2)).alias("norm"))
-    return w.join(norm, key).select(key, "token", (F.col("w") / F.col("norm")).alias("weight"))
+    # a window over the key's own tokens: joined to an aggregate of itself, w would be made and shuffled twice
+    norm = F.sqrt(F.sum(F.col("w") ** 2).over(Window.partitionBy(key)))
+    return w.select(key, "token", (F.col("w") / norm).alias("weight"))
 
 
 def role_docs(postings: DataFrame, terms: DataFrame, key: str = "job_id", term: str = "skill") -> DataFrame:
