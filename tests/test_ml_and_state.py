@@ -213,7 +213,7 @@ def test_stream_daily_days_do_not_depend_on_session_zone(spark, sf):
 
 
 def test_tfidf_makes_the_weights_once(spark, sf):
-    """The norm needs no second pass over the joined tokens: two joins fewer would do, and one is enough."""
+    """The weights are not joined to an aggregate of themselves."""
     df = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.split("text", " ").alias("tokens"))
     plan = ML.tfidf(df, "doc_id", "tokens", min_df=5)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join ") == 1
