@@ -45,20 +45,21 @@ def salary_set(postings: DataFrame, lo: float = 30000, hi: float = 500000, key:
     return s.where(F.col("salary").between(lo, hi))
 
 
-def frequent_terms(terms: DataFrame, sal: DataFrame, min_n: int, key: str = "job_id", term: str = "skill") -> DataFrame:
-    """Terms with at least ``min_n`` rows inside the salary set."""
-    t = terms.join(sal.select(key), key, "left_semi")
+def frequent_terms(terms: DataFrame, sal: DataFrame | None, min_n: int, key: str = "job_id", term: str = "skill") -> DataFrame:
+    """Terms with at least ``min_n`` rows inside the salary set (None: all of ``terms`` are)."""
+    t = terms if sal is None else terms.join(sal.select(key), key, "left_semi")
     return t.groupBy(term).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_n)
 
 
 def feature_rows(postings: DataFrame, terms: DataFrame, regions: Sequence[tuple[str, Sequence[str]]],
                  min_n: int = 10, lo: float = 30000, hi: float = 500000, key: str = "job_id", term: str = "skill",
-                 levels: Sequence[str] = LEVELS) -> DataFrame:
+                 levels: Sequence[str] = LEVELS, inside: bool = False) -> DataFrame:
     """M1 in long form: (key, salary, feature, value) for every non-zero feature.
 
-    Frequent-term selection is a join against the aggregated term counts, so no term list is collected."""
+    Frequent-term selection is a join against the aggregated term counts, so no term list is collected. ``inside`` says that
+    ``terms`` holds rows of the salary set only."""
     sal = salary_set(postings, lo, hi, key)
-    kept = frequent_terms(terms, sal, min_n, key, term).select(term)
+    kept = frequent_terms(terms, None if inside else sal, min_n, key, term).select(term)
     base = sal.select(key, "salary", "seniority", "remote", region_last("location", regions).alias("metro"))
     # the posting's own features in one generator pass (seniority one-hot, metro, remote) instead of one scan each
     none = F.array().cast("array<string>")
@@ -79,18 +80,28 @@ def feature_index(rows: DataFrame, feature: str = "feature") -> DataFrame:
         "idx", F.col("idx").cast("int"))
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared checkpoint folder and read from there by every later step."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def sparse_vectors(base: DataFrame, rows: DataFrame, keys: Sequence[str], feature: str = "feature", value: str = "value"
                    ) -> tuple[DataFrame, DataFrame]:
     """(``base`` with its vectors in column features, index (feature, idx)) from ``rows`` (keys..., feature, value).
 
     A key's vector holds the summed values of its features and is sparse; a key of ``base`` without rows gets one without
     entries. Vectors are made by aggregation alone: their parts are written as a table of arrays, in the layout in which a vector
-    is stored, and read back as vectors. Only their width reaches the driver."""
+    is stored, and read back as vectors. Only their width reaches the driver.
+
+    ``rows`` is made once, though the index samples and reads it and the vectors read it again, and is shuffled once, by key."""
     spark = base.sparkSession
     checkpoint_dir(spark)
+    rows = stored(rows.select(*keys, feature, value), "rows")
     index = feature_index(rows, feature)
     width = index.count()
-    cells = rows.groupBy(*keys, feature).agg(F.sum(value).alias("_v")).join(index, feature)
+    cells = rows.repartition(*keys).groupBy(*keys, feature).agg(F.sum(value).alias("_v")).join(index, feature)
     cells = cells.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("idx", "_v"))).alias("_cells"))
     both = base.join(cells, list(keys), "left").withColumn("_cells", F.coalesce("_cells", F.array().cast("array<struct<idx:int,_v:double>>")))
     vector = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(width).alias("size"), F.transform("_cells", lambda c: c["idx"]).alias("indices"),
@@ -115,9 +126,12 @@ def build_features(postings: DataFrame, terms: DataFrame, regions: Sequence[tupl
     """M1: (key, salary, features vector) and the index of its features (feature, idx).
 
     One-hot seniority (NULL -> zeros), metro last-match-wins incl. 'Other', remote (NULL -> 0), multi-hot frequent terms; a
-    feature that no posting has is no column. ``key`` must be unique."""
-    rows = feature_rows(postings, terms, regions, min_n, lo, hi, key, term, levels)
-    return sparse_vectors(salary_set(postings, lo, hi, key).select(key, "salary"), rows, [key])
+    feature that no posting has is no column. ``key`` must be unique. The salary set and its terms, which several steps read, are
+    made once."""
+    sal = stored(salary_set(postings, lo, hi, key).select(key, "salary_min", "salary_max", "seniority", "remote", "location"), "salaries")
+    inside = stored(terms.select(key, term).join(sal.select(key), key, "left_semi"), "terms")
+    rows = feature_rows(sal, inside, regions, min_n, lo, hi, key, term, levels, inside=True)
+    return sparse_vectors(salary_set(sal, lo, hi, key).select(key, "salary"), rows, [key])
 
 
 def split(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42, method: str = "hash") -> DataFrame:
@@ -175,8 +189,12 @@ def boosted_trees(df: DataFrame, depth: int = 4, rate: float = 0.08, rounds: int
     """M5: GBT fit on the training rows, metrics on the test rows next to the median baseline.
 
     The labelled frame is persisted only while the fit and the metric passes run; the one-row result is checkpointed
-    (shared checkpoint folder) before the frame is released."""
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    (shared checkpoint folder) before the frame is released. It is read a few times and the fit's own rows a few hundred times, so
+    it is kept on disk and memory is left to them. Rows are dealt evenly over a multiple of the cores, so that no core waits in any
+    of the fit's passes."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = -(-max(df.rdd.getNumPartitions(), 1) // cores) * cores
+    data = df.repartition(parts).persist(StorageLevel.DISK_ONLY)
     train = data.where(~F.col("is_test"))
     model = GBTRegressor(featuresCol="features", labelCol=y, maxDepth=depth, stepSize=rate, maxIter=rounds,
                          seed=seed).fit(train)

@@ -77,6 +77,42 @@ def test_trees_and_report(spark):
     assert [p["skill"] for p in r["premiums"]] == ["a", "b"] and abs(r["premiums"][0]["delta"] - 20000) < 2500
 
 
+def test_rows_of_vectors_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(k):
+        made.add(1)
+        return f"f{k % 9}"
+
+    rows = spark.range(200).select((F.col("id") % 40).alias("k"), F.udf(count)("id").alias("feature"), F.lit(1.0).alias("value"))
+    x, index = ML.sparse_vectors(spark.range(41).withColumnRenamed("id", "k"), rows, ["k"])
+    assert x.count() == 41 and index.count() == 9 and sum(r.value for r in ML.vector_entries(x, "k").collect()) == 200 and made.value == 200
+
+
+def test_salaries_and_terms_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(k):
+        made.add(1)
+        return "a" if k % 2 else "b"
+
+    postings = spark.range(60).select(F.col("id").alias("job_id"), F.udf(count)("id").alias("location"), F.lit("mid").alias("seniority"), F.lit(True).alias("remote"),
+                                      F.lit(50000.0).alias("salary_min"), F.lit(60000.0).alias("salary_max"))
+    terms = spark.range(60).select(F.col("id").alias("job_id"), F.udf(count)("id").alias("skill"))
+    x, index = ML.build_features(postings, terms, [("A", ["a"])], min_n=2)
+    assert x.count() == 60 and index.count() == 6 and made.value == 120
+
+
+def test_trees_are_fitted_on_even_parts(spark, monkeypatch):
+    seen, cores = [], spark.sparkContext.defaultParallelism
+    fit = ML.GBTRegressor.fit
+    monkeypatch.setattr(ML.GBTRegressor, "fit", lambda self, df: (seen.append([len(p) for p in df.rdd.glom().collect()]), fit(self, df))[1])
+    rows = [(float(i % 7), i % 5 == 0, Vectors.dense([i % 2, i % 3])) for i in range(400)]
+    df = spark.createDataFrame(rows, StructType.fromDDL("salary double, is_test boolean").add("features", VectorUDT())).repartition(cores + 1)
+    assert ML.boosted_trees(df, rounds=2).first().n_test == 80
+    assert len(seen[0]) == 2 * cores and sum(seen[0]) == 320 and min(seen[0]) > 0
+
+
 @pytest.mark.parametrize("name", ["gbt_metrics", "kmeans_profile", "ridge_premiums", "model_artifact"])
 def test_model_queries_run(spark, sf, name):
     rows = E.queries()[name](spark, sf).collect()
